@@ -1,0 +1,23 @@
+"""Run a stream over everything available and read back its result."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from agentlake.session import scratch_path
+
+
+def run_available(stream: DataFrame, name: str) -> DataFrame:
+    """Process all available input, write parquet to the shared folder, read it."""
+    spark = stream.sparkSession
+    path = scratch_path(spark, name)
+    query = (
+        stream.writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", scratch_path(spark, f"{name}-progress"))
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
