@@ -257,6 +257,11 @@ select event_id % 400 as node_id, event_id as seq,
 from events
 """
 
+# Nodes a run is asked to start from.
+STARTS = """
+select p_partkey as id from part where p_size > 45
+"""
+
 # Several workflows over the nodes: a node belongs to one of them.
 NODE_ORDER = """
 select p_partkey % 40 as workflow_id, p_partkey as id, p_size as level, p_partkey as seq from part
@@ -382,6 +387,7 @@ SQL = {
     "nodes": NODES,
     "edges": EDGES,
     "valid_edges": VALID_EDGES,
+    "starts": STARTS,
     "outcomes": OUTCOMES,
     "node_order": NODE_ORDER,
     "requests": REQUESTS,
@@ -398,20 +404,21 @@ SQL = {
 NEEDS = {"usage_text": ("usage",), "valid_edges": ("edges", "nodes")}
 
 
-def with_clause(*names: str) -> str:
+def with_clause(*names: str, recursive: bool = False) -> str:
     """``WITH`` list that defines the fixtures and what they need."""
     wanted: list[str] = []
     for name in names:
         for each in (*NEEDS.get(name, ()), name):
             if each not in wanted:
                 wanted.append(each)
-    return "with " + ",\n".join(f"{each} as ({SQL[each].strip()})" for each in wanted)
+    return ("with recursive " if recursive else "with ") + ",\n".join(f"{each} as ({SQL[each].strip()})" for each in wanted)
 
 
 def oracle(body: str, *names: str) -> str:
     """Check query over fixtures, for DuckDB."""
-    if body.lstrip().lower().startswith("with "):
-        return with_clause(*names) + ",\n" + body.lstrip()[5:]
+    for start in ("with recursive ", "with "):
+        if body.startswith(start):
+            return with_clause(*names, recursive="recursive" in start) + ",\n" + body[len(start) :]
     return with_clause(*names) + "\n" + body
 
 

@@ -37,8 +37,8 @@ def descendants(edges: DataFrame, starts: DataFrame) -> DataFrame:
     Only new nodes are written, so all rounds together write each node once.
     """
     spark = edges.sparkSession
-    edges, _ = written(edges.select("src", "dst").distinct(), "edges")
-    frontier, path = written(starts.select("id").distinct(), "reach0")
+    edges, _, _ = written(edges.select("src", "dst").distinct(), "edges")
+    frontier, path, _ = written(starts.select("id").distinct(), "reach0")
     schema, paths = frontier.schema, [path]
     while True:
         seen = spark.read.schema(schema).parquet(*paths)
@@ -48,8 +48,8 @@ def descendants(edges: DataFrame, starts: DataFrame) -> DataFrame:
             .distinct()
             .join(seen, "id", "left_anti")
         )
-        frontier, path = written(found, f"reach{len(paths)}")
-        if frontier.isEmpty():
+        frontier, path, more = written(found, f"reach{len(paths)}")
+        if not more:
             return seen
         paths.append(path)
 
@@ -57,39 +57,42 @@ def descendants(edges: DataFrame, starts: DataFrame) -> DataFrame:
 def topo_order(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Add ``level``: the longest path from a root; order by ``level, seq``.
 
-    Raises ``CycleError`` when some nodes can never be reached in order. Each
-    round touches the edges of the nodes finished in the round before and the
-    nodes that still wait for others.
+    Raises ``CycleError`` when some nodes can never be reached in order. A
+    round touches the edges of the nodes finished in the round before, and the
+    nodes that still wait for others; it writes one small table of both.
     """
     spark = nodes.sparkSession
     distinct = edges.select("src", "dst").distinct()
     indegree = distinct.groupBy(F.col("dst").alias("_to")).agg(F.count(F.lit(1)).alias("need"))
-    weighted, _ = written(
+    weighted, _, _ = written(
         distinct.join(indegree, distinct["dst"] == indegree["_to"]).select("src", "dst", "need"), "weighted"
     )
-    ids = nodes.select("id").distinct()
-    first = ids.join(indegree.select(F.col("_to").alias("id")), "id", "left_anti")
-    ready, path = written(first.withColumn("level", F.lit(0)), "level0")
-    schema, paths = ready.schema, [path]
-    waiting: DataFrame | None = None
-    while True:
-        level = len(paths)
-        met = weighted.join(ready.select(F.col("id").alias("src")), "src", "left_semi").select(
-            F.col("dst").alias("id"), "need", F.lit(1).cast("long").alias("met")
-        )
-        if waiting is not None:
-            met = met.unionByName(waiting)
-        counted, _ = written(
-            met.groupBy("id").agg(F.max("need").alias("need"), F.sum("met").alias("met")), f"waiting{level}"
+    first = (
+        nodes.select("id")
+        .distinct()
+        .join(indegree.select(F.col("_to").alias("id")), "id", "left_anti")
+        .select("id", F.lit(0).cast("long").alias("need"), F.lit(0).cast("long").alias("met"), F.lit(0).alias("level"))
+    )
+    current, path, more = written(first, "level0")
+    schema, paths = current.schema, []
+    while more:
+        paths.append(path)
+        ready = current.filter("met = need")
+        waiting = current.filter("met < need").select("id", "need", "met")
+        met = (
+            weighted.join(ready.select(F.col("id").alias("src")), "src", "left_semi")
+            .select(F.col("dst").alias("id"), "need", F.lit(1).cast("long").alias("met"))
         )
-        ready, path = written(
-            counted.filter("met = need").select("id", F.lit(level).alias("level")), f"level{level}"
+        counted = (
+            met.unionByName(waiting)
+            .groupBy("id")
+            .agg(F.max("need").alias("need"), F.sum("met").alias("met"))
+            .withColumn("level", F.lit(len(paths)))
         )
-        waiting = counted.filter("met < need")
-        if ready.isEmpty():
-            break
-        paths.append(path)
-    levels = spark.read.schema(schema).parquet(*paths)
+        current, path, _ = written(counted, f"level{len(paths)}")
+        more = not current.filter("met = need").isEmpty()
+    finished = spark.read.schema(schema).parquet(*paths) if paths else current
+    levels = finished.filter("met = need").select("id", "level")
     if not nodes.join(levels, "id", "left_anti").isEmpty():
         raise CycleError("graph contains a cycle")
     return nodes.join(levels, "id")

@@ -2,30 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from math import ceil
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from agentlake.functions.vectors import tokens
 from agentlake.operators.vectors import rank
+from agentlake.session import written
 
 K1 = 1.2
 B = 0.75
+DECIMALS = 6
 #: Fixed value: most results one search returns.
 RESULTS = 10
+#: Most (query, token) pairs sent to every worker.
+BROADCAST_PAIRS = 1_000_000
+#: Size of one block of a blocked search, in tokens of text and of queries.
+BLOCK_TOKENS = 4_000_000
+BLOCK_PAIRS = 200_000
+#: Queries scored at a time.
+BLOCK_QUERIES = 1_000
+#: Documents scored at a time.
+CHUNK_ROWS = 512
 
-
-def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Postings ``key, doc_len, token, tf``.
-
-    A document without tokens keeps one row with a NULL token, so document
-    counts and lengths can be read from the index alone. Write it out once and
-    search it many times.
-    """
-    words = docs.select(key, tokens(F.coalesce(F.col(text), F.lit(""))).alias("_words"))
-    exploded = words.select(key, F.size("_words").alias("doc_len"), F.explode_outer("_words").alias("token"))
-    return exploded.groupBy(key, "doc_len", "token").agg(F.count(F.lit(1)).alias("tf"))
+_TOTAL = ""  # Stands for "any document" among the counted tokens.
 
 
 def query_tokens(queries: DataFrame, key: str = "query_id", text: str = "text") -> DataFrame:
@@ -33,6 +38,159 @@ def query_tokens(queries: DataFrame, key: str = "query_id", text: str = "text")
     return queries.select(key, F.explode(F.array_distinct(tokens(F.col(text)))).alias("token"))
 
 
+def corpus_counts(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """Documents per token of ``vocabulary``, and under ``""`` the number of
+    documents with their summed length: ``token, df, length``.
+
+    One pass over the texts. Counts are partial before the shuffle, so the most
+    frequent token costs one row per task.
+    """
+    wanted = vocabulary.select("token").union(
+        vocabulary.sparkSession.createDataFrame([(_TOTAL,)], "token string")
+    )
+    marked = F.array_append(F.array_distinct("words"), F.lit(_TOTAL))
+    return (
+        words.select(F.size("words").alias("doc_len"), F.explode(marked).alias("token"))
+        .join(wanted.distinct(), "token", "left_semi")
+        .groupBy("token")
+        .agg(
+            F.count(F.lit(1)).alias("df"),
+            F.sum(F.when(F.col("token") == _TOTAL, F.col("doc_len"))).alias("length"),
+        )
+    )
+
+
+class _Index:
+    """Queries as a token by query matrix of inverse document frequencies."""
+
+    def __init__(self, pairs: pd.DataFrame) -> None:
+        self.keys, columns = np.unique(pairs["query"].to_numpy(), return_inverse=True)
+        self.tokens = pd.Index(pairs["token"].unique())
+        rows = self.tokens.get_indexer(pairs["token"])
+        self.columns, self.rows, self.weights = columns, rows, pairs["idf"].to_numpy(dtype=float)
+
+    def blocks(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query keys, dense weights) for a bounded number of queries at a time."""
+        width = max(1, min(len(self.keys), BLOCK_QUERIES, 16_000_000 // max(1, len(self.tokens))))
+        for start in range(0, len(self.keys), width):
+            keys = self.keys[start : start + width]
+            inside = (self.columns >= start) & (self.columns < start + width)
+            dense = np.zeros((len(self.tokens), len(keys)))
+            dense[self.rows[inside], self.columns[inside] - start] = self.weights[inside]
+            yield keys, dense
+
+
+def _shares(index: _Index, words: pd.Series, mean_len: float) -> np.ndarray:
+    """Dense document by token matrix of length-adjusted term frequencies."""
+    lengths = words.map(len).to_numpy()
+    counts = np.zeros((len(words), len(index.tokens)))
+    if lengths.sum():
+        found = index.tokens.get_indexer(np.concatenate(words.to_list()))
+        rows = np.repeat(np.arange(len(words)), lengths)
+        known = found >= 0
+        np.add.at(counts, (rows[known], found[known]), 1.0)
+    norm = K1 * (1 - B + B * lengths / mean_len)
+    return counts * (K1 + 1) / (counts + norm[:, None])
+
+
+def _keep(results: pd.DataFrame, k: int) -> pd.DataFrame:
+    ordered = results.sort_values(["query", "score", "doc"], ascending=[True, False, True])
+    return ordered.groupby("query", sort=False).head(k)
+
+
+def _score(index: _Index, batches: Iterator[pd.DataFrame], mean_len: float, k: int) -> pd.DataFrame:
+    """Best ``k`` documents of the batches per query; never more than that is kept."""
+    best = pd.DataFrame({"query": [], "doc": [], "score": []})
+    for batch in batches:
+        for start in range(0, len(batch), CHUNK_ROWS):
+            chunk = batch.iloc[start : start + CHUNK_ROWS]
+            shares = _shares(index, chunk["words"], mean_len)
+            docs = chunk["doc"].to_numpy()
+            by_key = np.argsort(docs, kind="stable")
+            docs, shares = docs[by_key], shares[by_key]
+            found = [best]
+            for keys, weights in index.blocks():
+                scores = np.round(shares @ weights, DECIMALS)
+                keep = min(k, len(docs))
+                chosen = np.argsort(-scores, axis=0, kind="stable")[:keep]
+                values = np.take_along_axis(scores, chosen, axis=0)
+                hits = values > 0
+                columns = np.broadcast_to(np.arange(len(keys)), chosen.shape)
+                found.append(
+                    pd.DataFrame(
+                        {"query": keys[columns[hits]], "doc": docs[chosen[hits]], "score": values[hits]}
+                    )
+                )
+            filled = [part for part in found if len(part)]
+            if filled:
+                best = _keep(pd.concat(filled), k)
+    return best
+
+
+def _idf(docs: float, df: pd.Series) -> pd.Series:
+    return np.log1p((docs - df + 0.5) / (df + 0.5))
+
+
+def _schema(words: DataFrame, asked: DataFrame) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField("query", asked.schema["query"].dataType),
+            T.StructField("doc", words.schema["doc"].dataType),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
+
+
+def _by_broadcast(words: DataFrame, asked: DataFrame, counts: DataFrame, k: int) -> DataFrame:
+    # Both are within the measured bound: a row per query token, one per token.
+    counted = counts.toPandas().set_index("token")
+    docs, length = counted.loc[_TOTAL, ["df", "length"]]
+    pairs = asked.toPandas().join(counted["df"], on="token", how="inner")
+    pairs["idf"] = _idf(docs, pairs["df"])
+    mean_len = length / docs if docs else 0.0
+    shared = words.sparkSession.sparkContext.broadcast(_Index(pairs) if len(pairs) and mean_len else None)
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if shared.value is not None:
+            yield _score(shared.value, batches, mean_len, k)
+
+    return words.mapInPandas(score, _schema(words, asked))
+
+
+def _by_blocks(
+    words: DataFrame, asked: DataFrame, counts: DataFrame, k: int, query_blocks: int, block_tokens: int
+) -> DataFrame:
+    kept, _, _ = written(counts, "corpus-counts")
+    total = kept.filter(F.col("token") == _TOTAL).first()
+    docs, length = (total["df"], total["length"]) if total else (0, 0)
+    mean_len = (length or 0) / docs if docs else 0.0
+    doc_blocks = max(1, ceil((length or 0) / block_tokens))
+    idf = F.log1p((F.lit(float(docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+
+    def spread(key: str, blocks: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+
+    def every(blocks: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+
+    left = words.withColumn("db", spread("doc", doc_blocks)).withColumn("qb", every(query_blocks))
+    right = (
+        asked.join(kept.select("token", "df"), "token")
+        .select("query", "token", idf.alias("idf"))
+        .withColumn("qb", spread("query", query_blocks))
+        .withColumn("db", every(doc_blocks))
+    )
+
+    def score(texts: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+        if texts.empty or pairs.empty or not mean_len:
+            return pd.DataFrame({"query": [], "doc": [], "score": []})
+        return _score(_Index(pairs), iter([texts]), mean_len, k)
+
+    return (
+        left.groupBy("db", "qb").cogroup(right.groupBy("db", "qb")).applyInPandas(score, _schema(words, asked))
+    )
+
+
 def text_search(
     docs: DataFrame,
     queries: DataFrame,
@@ -40,43 +198,34 @@ def text_search(
     doc_key: str = "doc_id",
     query_key: str = "query_id",
     fields: Sequence[str] = (),
+    broadcast_pairs: int = BROADCAST_PAIRS,
+    block_tokens: int = BLOCK_TOKENS,
 ) -> DataFrame:
     """Best ``k`` documents per query: ``query_key, rank, doc_key, score`` and ``fields``.
 
-    Each document is tokenised and shuffled once. Tokens no query asks for are
-    dropped before that shuffle, counts are partial, and results are limited to
-    ``k`` per query and task before they move.
+    Documents are scored where they are read: a task holds the queries' tokens
+    and passes on ``k`` rows per query, so texts are not shuffled and a word
+    common to many documents and queries never pairs them up as rows. Texts are
+    split into tokens in the JVM. The query side is measured first; beyond
+    ``broadcast_pairs`` query tokens, blocks of documents meet blocks of queries
+    instead, each pair of blocks bounded in size.
+
+    Corpus counts are taken when this is called, in one pass over the texts.
     """
-    asked = query_tokens(queries, query_key)
-    wanted = asked.select("token").distinct()
-    words = docs.select(doc_key, tokens(F.coalesce(F.col("text"), F.lit(""))).alias("_words"))
-    sizes = words.agg(
-        F.count(F.lit(1)).cast("double").alias("docs"), F.avg(F.size("_words")).alias("mean_len")
-    )
-    postings = (
-        words.select(doc_key, F.size("_words").alias("doc_len"), F.explode("_words").alias("token"))
-        .join(wanted, "token", "left_semi")
-        .groupBy(doc_key, "doc_len", "token")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-    docs_count = sizes.select("docs").scalar()
-    mean_len = sizes.select("mean_len").scalar()
-    frequency = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    weights = asked.join(frequency, "token").select(
-        query_key,
-        "token",
-        F.log1p((docs_count - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"),
-    )
-    share = F.col("tf") * (K1 + 1) / (
-        F.col("tf") + K1 * (1 - B + B * F.col("doc_len") / mean_len)
+    asked = query_tokens(queries, query_key).select(F.col(query_key).alias("query"), "token")
+    words = docs.select(
+        F.col(doc_key).alias("doc"), tokens(F.coalesce(F.col("text"), F.lit(""))).alias("words")
     )
-    scored = (
-        postings.withColumn("_share", share)
-        .join(weights, "token")
-        .groupBy(query_key, doc_key)
-        .agg(F.round(F.sum(F.col("idf") * F.col("_share")), 6).alias("score"))
+    counts = corpus_counts(words.select("words"), asked)
+    pairs = asked.count()
+    if pairs <= broadcast_pairs:
+        scores = _by_broadcast(words, asked, counts, k)
+    else:
+        scores = _by_blocks(words, asked, counts, k, ceil(pairs / BLOCK_PAIRS), block_tokens)
+    best = rank(scores, ["query"], "score", "doc", k)
+    named = best.select(F.col("query").alias(query_key), "rank", F.col("doc").alias(doc_key), "score")
+    if not fields:
+        return named
+    return named.join(docs.select(doc_key, *fields), doc_key).select(
+        query_key, "rank", doc_key, "score", *fields
     )
-    best = rank(scored, [query_key], "score", doc_key, k)
-    if fields:
-        best = best.join(docs.select(doc_key, *fields), doc_key)
-    return best.select(query_key, "rank", doc_key, "score", *fields)

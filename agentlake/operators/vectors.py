@@ -140,8 +140,9 @@ def top_match(
     measured = offered.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(F.size("iv").cast("long")), F.lit(0)).alias("numbers"),
+        F.coalesce(F.sum(F.length(F.col("item").cast("string")).cast("long")), F.lit(0)).alias("letters"),
     ).first()
-    if measured["numbers"] * 8 + measured["rows"] * 64 <= broadcast_bytes:
+    if measured["numbers"] * 8 + measured["letters"] + measured["rows"] * 64 <= broadcast_bytes:
         scores = _by_broadcast(asked, offered, schema, k, exclude_self)
         ranked = rank(scores, ["query"], "score", "item", k) if k > 1 else scores.withColumn("rank", F.lit(1))
     else:

@@ -98,16 +98,16 @@ def planner_response(f: Fixtures) -> DataFrame:
 # Token rules over lists: the last place of a word that has a next token.
 _TOKENS = r"""toks as (
     select request_id, text, lower(text) as low,
-           list_filter(string_split_regex(lower(text), '\s+'), x -> x <> '') as t
+           [x for x in string_split_regex(lower(text), '\s+') if x <> ''] as t
     from requests),
     places as (
     select *, len(t) as n,
-           list_max(list_filter(range(1, len(t)), i -> t[i] = 'namespace')) as ns_at,
-           list_max(list_filter(range(1, len(t)), i -> t[i] = 'pod')) as pod_at,
-           list_max(list_filter(range(1, len(t)), i -> t[i] = 'container')) as container_at,
-           list_max(list_filter(range(1, len(t) - 1), i -> t[i] = 'the' and t[i + 1] = 'default'
-                                                        and t[i + 2] = 'namespace')) as default_at,
-           list_max(list_filter(range(1, len(t) + 1), i -> contains(t[i], '-pod') or contains(t[i], '-deployment')))
+           list_max([i for i in range(1, len(t)) if t[i] = 'namespace']) as ns_at,
+           list_max([i for i in range(1, len(t)) if t[i] = 'pod']) as pod_at,
+           list_max([i for i in range(1, len(t)) if t[i] = 'container']) as container_at,
+           list_max([i for i in range(1, len(t) - 1) if t[i] = 'the' and t[i + 1] = 'default'
+                                                   and t[i + 2] = 'namespace']) as default_at,
+           list_max([i for i in range(1, len(t) + 1) if contains(t[i], '-pod') or contains(t[i], '-deployment')])
                as hyphen_at
     from toks),
     entities as (

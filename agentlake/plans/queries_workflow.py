@@ -140,30 +140,32 @@ def roots(f: Fixtures) -> DataFrame:
     return graph.roots(f.nodes, f.valid_edges)
 
 
-# Reachable from the smallest and the tenth node.
-_REACH = """recursive reach(id) as (
-        select id from nodes where id in (1, 10)
-        union select dst from reach join valid_edges on src = id)"""
+_REACH = """reach(id) as (
+        select id from starts union select dst from reach join valid_edges on src = id)"""
+# Longest path to every node: all (node, length) pairs, then the greatest.
+_LEVELS = """lengths(id, level) as (
+        select id, 0 from nodes where id not in (select dst from valid_edges)
+        union select dst, level + 1 from lengths join valid_edges on src = id),
+    placed as (select id, seq, max(level) as level from nodes join lengths using (id) group by id, seq)"""
 
 
-def _starts(f: Fixtures) -> DataFrame:
-    return graph.start_nodes(f.nodes, f.valid_edges, f.nodes.filter(F.col("id").isin(1, 10)))
-
-
-@query(name="descendants")
+@query(f"with recursive {_REACH} select id from reach", ("valid_edges", "starts"))
 def descendants(f: Fixtures) -> DataFrame:
-    return graph.descendants(f.valid_edges, _starts(f))
+    return graph.descendants(f.valid_edges, graph.start_nodes(f.nodes, f.valid_edges, f.starts))
 
 
-@query(name="topo_order")
+@query(f"with recursive {_LEVELS} select id, seq, level from placed", ("valid_edges",))
 def topo_order(f: Fixtures) -> DataFrame:
     return graph.topo_order(f.nodes, f.valid_edges)
 
 
-@query(name="runnable")
+@query(
+    f"with recursive {_LEVELS}, {_REACH} select id, seq, level from placed where id in (select id from reach)",
+    ("valid_edges", "starts"),
+)
 def runnable(f: Fixtures) -> DataFrame:
     order = graph.topo_order(f.nodes, f.valid_edges)
-    return graph.runnable(order, graph.descendants(f.valid_edges, _starts(f)))
+    return graph.runnable(order, graph.descendants(f.valid_edges, f.starts))
 
 
 _STATES = """pauses as (
