@@ -1 +1,9 @@
 """Spark operators for the data that agent systems leave behind."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Python workers get the package's functions with the task, so executors need
+# no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

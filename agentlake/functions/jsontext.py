@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once per row, however often used.
+
+    Projections alone do not guarantee that: the optimizer may copy a costly
+    expression into every place that reads it.
+    """
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def strict_json(text: Column) -> Column:
     """Parse one JSON document; NULL when anything else surrounds it.
 
@@ -14,7 +25,7 @@ def strict_json(text: Column) -> Column:
     """
     wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
     elements = F.try_variant_get(wrapped, "$", "array<variant>")
-    return F.when(F.size(elements) == 1, F.try_element_at(elements, F.lit(1)))
+    return bound(elements, lambda e: F.when(F.size(e) == 1, F.try_element_at(e, F.lit(1))))
 
 
 def is_object(value: Column) -> Column:

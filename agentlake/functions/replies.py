@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from agentlake.functions.jsontext import is_object, strict_json
+from agentlake.functions.jsontext import bound, is_object, strict_json
 
 # Fence patterns, tried in this order; the dot matches newlines.
 FENCES = (
@@ -51,35 +51,26 @@ def _response(kind: str | None, complete: bool, ask: bool, content: Column) -> C
     )
 
 
-def response_of(fenced: Column, body: Column) -> Column:
-    """Response for the parts found by ``extract_fenced``."""
-    value = strict_json(body)
-    wants_input = F.try_variant_get(value, "$.status", "string") == "input_required"
-    question = F.try_variant_get(value, "$.question", "variant")
-    text_value = F.when(
-        F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string")
+def _response_of(fenced: Column, body: Column, value: Column) -> Column:
+    """Response for the parts found by ``extract_fenced`` and the parsed body."""
+    wants_input = F.coalesce(
+        F.try_variant_get(value, "$.status", "string") == "input_required", F.lit(False)
     )
-
+    question = F.try_variant_get(value, "$.question", "variant")
     as_object = (
-        F.when(
-            F.coalesce(wants_input, F.lit(False)) & question.isNull(),
-            _response("text", True, False, F.lit(FAILED_TEXT)),
-        )
-        .when(
-            F.coalesce(wants_input, F.lit(False)),
-            _response("text", False, True, F.try_variant_get(value, "$.question", "string")),
-        )
+        F.when(wants_input & question.isNull(), _response("text", True, False, F.lit(FAILED_TEXT)))
+        .when(wants_input, _response("text", False, True, question.cast("string")))
         .otherwise(_response("data", True, False, body))
     )
     # A fenced JSON string is unquoted first and then read as JSON once more.
+    unquoted = F.try_variant_get(value, "$", "string")
     as_string = F.when(
-        strict_json(text_value).isNotNull(), _response("data", True, False, text_value)
-    ).otherwise(_response("text", True, False, text_value))
+        strict_json(unquoted).isNotNull(), _response("data", True, False, unquoted)
+    ).otherwise(_response("text", True, False, unquoted))
     as_text = _response("text", True, False, body)
-
     return (
         F.when(fenced & is_object(value), as_object)
-        .when(fenced & text_value.isNotNull(), as_string)
+        .when(fenced & F.coalesce(F.schema_of_variant(value) == "STRING", F.lit(False)), as_string)
         .when(fenced, as_text)
         .when(value.isNotNull(), _response("data", True, False, body))
         .otherwise(as_text)
@@ -88,8 +79,12 @@ def response_of(fenced: Column, body: Column) -> Column:
 
 def normalize_response(text: Column) -> Column:
     """``struct<response_type, is_task_complete, require_user_input, content>``."""
-    parts = extract_fenced(text)
-    return response_of(parts["fenced"], parts["body"])
+    return bound(
+        extract_fenced(text),
+        lambda part: bound(
+            strict_json(part["body"]), lambda value: _response_of(part["fenced"], part["body"], value)
+        ),
+    )
 
 
 def planner_response(status: Column, question: Column, content: Column) -> Column:

@@ -101,7 +101,7 @@ def events_of_pod(events: DataFrame, namespace: str, pod: str) -> DataFrame:
 
 def pod_events(events: DataFrame, pods: DataFrame) -> DataFrame:
     """Events whose object is one of ``pods`` (namespace, name)."""
-    wanted = pods.select(F.col("namespace").alias("_ns"), F.col("name").alias("_name"))
+    wanted = pods.select(F.col("namespace").alias("_ns"), F.col("name").alias("_name")).distinct()
     return events.join(
         wanted,
         (events["namespace"] == wanted["_ns"]) & (events["pod"] == wanted["_name"]),

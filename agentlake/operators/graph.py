@@ -18,13 +18,13 @@ class CycleError(ValueError):
 
 def roots(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Nodes no edge leads to."""
-    return nodes.join(edges.select(F.col("dst").alias("id")), "id", "left_anti")
+    return nodes.join(edges.select(F.col("dst").alias("id")).distinct(), "id", "left_anti")
 
 
 def start_nodes(nodes: DataFrame, edges: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """The wanted nodes (``id``) that exist, or the roots when there are none."""
     if wanted is not None:
-        known = nodes.join(wanted.select("id"), "id", "left_semi")
+        known = nodes.join(wanted.select("id").distinct(), "id", "left_semi")
         if not known.isEmpty():
             return known
     return roots(nodes, edges)
@@ -100,7 +100,7 @@ def topo_order(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 def runnable(order: DataFrame, applicable: DataFrame) -> DataFrame:
     """The part of an order whose nodes are applicable, in that order."""
-    return order.join(applicable.select("id"), "id", "left_semi").orderBy("level", "seq", "id")
+    return order.join(applicable.select("id").distinct(), "id", "left_semi").orderBy("level", "seq", "id")
 
 
 def _pauses(outcomes: DataFrame) -> DataFrame:

@@ -58,4 +58,4 @@ def describe(objects: DataFrame, **key: str) -> DataFrame:
 
 def describe_many(objects: DataFrame, wanted: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of every wanted object, each once however often it is asked for."""
-    return objects.join(wanted.select(*key), list(key), "left_semi")
+    return objects.join(wanted.select(*key).distinct(), list(key), "left_semi")

@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from agentlake.session import written
+
 PAGE_ROWS = 10_000
 
 
@@ -36,19 +38,20 @@ def with_pages(
 ) -> DataFrame:
     """Add ``page``: at most ``2 * page_rows`` rows share a key and a page.
 
-    ``seq`` must be unique within a key. Only keys above ``page_rows`` rows, at
-    most one in ``page_rows`` rows of the table, need block counts; those are
-    summed before the shuffle and joined back on (key, block), which no single
-    key dominates.
+    ``seq`` must be unique within a key. Rows per key are counted first, with
+    partial counts and only the key columns read. When no key has more than
+    ``page_rows`` rows, which is the usual case, nothing else is done. Else the
+    blocks of those keys get a page each; that table's size is known, so it is
+    broadcast while it is small and joined on (key, block), which no single key
+    dominates, when it is not.
     """
     keys = list(keys)
     renamed = {k: f"_hot_{k}" for k in keys}
-    hot = (
-        df.groupBy(*[F.col(k).alias(renamed[k]) for k in keys])
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > page_rows)
-        .drop("_rows")
-    )
+    counted = df.groupBy(*[F.col(k).alias(renamed[k]) for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
+    hot, _, any_hot = written(counted.filter(F.col("_rows") > page_rows), "hot-keys")
+    if not any_hot:
+        return df.withColumn(page, F.lit(0))
+    hot = hot.drop("_rows")
     blocked = df.withColumn("_block", block_of(seq, page_rows))
     narrow = blocked.select(*keys, "_block")
     counts = (
@@ -62,11 +65,8 @@ def with_pages(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
-    starts = (
-        counts.withColumn("_page", ((before - F.pmod(before, F.lit(page_rows))) / page_rows).cast("int"))
-        .drop("_rows")
-        .filter("_page > 0")
-    )
+    paged = counts.withColumn("_page", (block_of(before, page_rows) / page_rows).cast("int"))
+    starts, _, _ = written(paged.drop("_rows").filter("_page > 0"), "page-starts")
     joined = blocked.join(
         starts, same(blocked, starts, {**renamed, "_block": "_hot_block"}), "left"
     )

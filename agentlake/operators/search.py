@@ -27,8 +27,9 @@ BLOCK_TOKENS = 4_000_000
 BLOCK_PAIRS = 200_000
 #: Queries scored at a time.
 BLOCK_QUERIES = 1_000
-#: Documents scored at a time.
+#: Documents scored at a time, and numbers in one dense block.
 CHUNK_ROWS = 512
+BLOCK_CELLS = 16_000_000
 
 _TOTAL = ""  # Stands for "any document" among the counted tokens.
 
@@ -38,57 +39,62 @@ def query_tokens(queries: DataFrame, key: str = "query_id", text: str = "text")
     return queries.select(key, F.explode(F.array_distinct(tokens(F.col(text)))).alias("token"))
 
 
-def corpus_counts(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
+def corpus_counts(words: DataFrame, vocabulary: DataFrame, small: bool = False) -> DataFrame:
     """Documents per token of ``vocabulary``, and under ``""`` the number of
     documents with their summed length: ``token, df, length``.
 
     One pass over the texts. Counts are partial before the shuffle, so the most
-    frequent token costs one row per task.
+    frequent token costs one row per task. A vocabulary known to be ``small``
+    is broadcast to drop other tokens first.
     """
-    wanted = vocabulary.select("token").union(
-        vocabulary.sparkSession.createDataFrame([(_TOTAL,)], "token string")
-    )
+    total = vocabulary.sparkSession.createDataFrame([(_TOTAL,)], "token string")
+    wanted = vocabulary.select("token").union(total).distinct()
     marked = F.array_append(F.array_distinct("words"), F.lit(_TOTAL))
-    return (
-        words.select(F.size("words").alias("doc_len"), F.explode(marked).alias("token"))
-        .join(wanted.distinct(), "token", "left_semi")
-        .groupBy("token")
-        .agg(
-            F.count(F.lit(1)).alias("df"),
-            F.sum(F.when(F.col("token") == _TOTAL, F.col("doc_len"))).alias("length"),
-        )
+    seen = words.select(F.size("words").alias("doc_len"), marked.alias("_seen")).select(
+        "doc_len", F.explode("_seen").alias("token")
     )
+    if small:
+        seen = seen.join(F.broadcast(wanted), "token", "left_semi")
+    counted = seen.groupBy("token").agg(
+        F.count(F.lit(1)).alias("df"), F.sum(F.when(F.col("token") == _TOTAL, F.col("doc_len"))).alias("length")
+    )
+    return counted if small else counted.join(wanted, "token", "left_semi")
 
 
-class _Index:
-    """Queries as a token by query matrix of inverse document frequencies."""
-
-    def __init__(self, pairs: pd.DataFrame) -> None:
-        self.keys, columns = np.unique(pairs["query"].to_numpy(), return_inverse=True)
-        self.tokens = pd.Index(pairs["token"].unique())
-        rows = self.tokens.get_indexer(pairs["token"])
-        self.columns, self.rows, self.weights = columns, rows, pairs["idf"].to_numpy(dtype=float)
-
-    def blocks(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(query keys, dense weights) for a bounded number of queries at a time."""
-        width = max(1, min(len(self.keys), BLOCK_QUERIES, 16_000_000 // max(1, len(self.tokens))))
-        for start in range(0, len(self.keys), width):
-            keys = self.keys[start : start + width]
-            inside = (self.columns >= start) & (self.columns < start + width)
-            dense = np.zeros((len(self.tokens), len(keys)))
-            dense[self.rows[inside], self.columns[inside] - start] = self.weights[inside]
-            yield keys, dense
-
+def _index(pairs: pd.DataFrame) -> dict[str, np.ndarray]:
+    """Queries as a sparse token by query matrix of inverse document frequencies.
 
-def _shares(index: _Index, words: pd.Series, mean_len: float) -> np.ndarray:
+    A plain dict, so that it can be broadcast to workers without this package.
+    """
+    keys, columns = np.unique(pairs["query"].to_numpy(), return_inverse=True)
+    vocabulary = pairs["token"].unique()
+    rows = pd.Index(vocabulary).get_indexer(pairs["token"])
+    weights = pairs["idf"].to_numpy(dtype=float)
+    return {"keys": keys, "tokens": vocabulary, "rows": rows, "columns": columns, "weights": weights}
+
+
+def _query_blocks(index: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(query keys, dense weights) for a bounded number of queries at a time."""
+    height = len(index["tokens"])
+    width = max(1, min(len(index["keys"]), BLOCK_QUERIES, BLOCK_CELLS // max(1, height)))
+    for start in range(0, len(index["keys"]), width):
+        keys = index["keys"][start : start + width]
+        inside = (index["columns"] >= start) & (index["columns"] < start + width)
+        dense = np.zeros((height, len(keys)))
+        dense[index["rows"][inside], index["columns"][inside] - start] = index["weights"][inside]
+        yield keys, dense
+
+
+def _shares(vocabulary: pd.Index, words: pd.Series, mean_len: float) -> np.ndarray:
     """Dense document by token matrix of length-adjusted term frequencies."""
     lengths = words.map(len).to_numpy()
-    counts = np.zeros((len(words), len(index.tokens)))
+    cells = np.zeros(0, dtype=np.int64)
     if lengths.sum():
-        found = index.tokens.get_indexer(np.concatenate(words.to_list()))
+        found = vocabulary.get_indexer(np.concatenate(words.to_list()))
         rows = np.repeat(np.arange(len(words)), lengths)
-        known = found >= 0
-        np.add.at(counts, (rows[known], found[known]), 1.0)
+        cells = (rows * len(vocabulary) + found)[found >= 0]
+    shape = (len(words), len(vocabulary))
+    counts = np.bincount(cells, minlength=shape[0] * shape[1]).reshape(shape).astype(float)
     norm = K1 * (1 - B + B * lengths / mean_len)
     return counts * (K1 + 1) / (counts + norm[:, None])
 
@@ -98,18 +104,23 @@ def _keep(results: pd.DataFrame, k: int) -> pd.DataFrame:
     return ordered.groupby("query", sort=False).head(k)
 
 
-def _score(index: _Index, batches: Iterator[pd.DataFrame], mean_len: float, k: int) -> pd.DataFrame:
+def _score(
+    index: dict[str, np.ndarray], batches: Iterator[pd.DataFrame], mean_len: float, k: int
+) -> pd.DataFrame:
     """Best ``k`` documents of the batches per query; never more than that is kept."""
     best = pd.DataFrame({"query": [], "doc": [], "score": []})
+    vocabulary = pd.Index(index["tokens"])
+    blocks = list(_query_blocks(index)) if len(index["tokens"]) * len(index["keys"]) <= BLOCK_CELLS else None
+    rows = max(1, min(CHUNK_ROWS, BLOCK_CELLS // max(1, len(vocabulary))))
     for batch in batches:
-        for start in range(0, len(batch), CHUNK_ROWS):
-            chunk = batch.iloc[start : start + CHUNK_ROWS]
-            shares = _shares(index, chunk["words"], mean_len)
+        for start in range(0, len(batch), rows):
+            chunk = batch.iloc[start : start + rows]
+            shares = _shares(vocabulary, chunk["words"], mean_len)
             docs = chunk["doc"].to_numpy()
             by_key = np.argsort(docs, kind="stable")
             docs, shares = docs[by_key], shares[by_key]
             found = [best]
-            for keys, weights in index.blocks():
+            for keys, weights in blocks or _query_blocks(index):
                 scores = np.round(shares @ weights, DECIMALS)
                 keep = min(k, len(docs))
                 chosen = np.argsort(-scores, axis=0, kind="stable")[:keep]
@@ -148,7 +159,7 @@ def _by_broadcast(words: DataFrame, asked: DataFrame, counts: DataFrame, k: int)
     pairs = asked.toPandas().join(counted["df"], on="token", how="inner")
     pairs["idf"] = _idf(docs, pairs["df"])
     mean_len = length / docs if docs else 0.0
-    shared = words.sparkSession.sparkContext.broadcast(_Index(pairs) if len(pairs) and mean_len else None)
+    shared = words.sparkSession.sparkContext.broadcast(_index(pairs) if len(pairs) and mean_len else None)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if shared.value is not None:
@@ -184,7 +195,7 @@ def _by_blocks(
     def score(texts: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
         if texts.empty or pairs.empty or not mean_len:
             return pd.DataFrame({"query": [], "doc": [], "score": []})
-        return _score(_Index(pairs), iter([texts]), mean_len, k)
+        return _score(_index(pairs), iter([texts]), mean_len, k)
 
     return (
         left.groupBy("db", "qb").cogroup(right.groupBy("db", "qb")).applyInPandas(score, _schema(words, asked))
@@ -216,9 +227,10 @@ def text_search(
     words = docs.select(
         F.col(doc_key).alias("doc"), tokens(F.coalesce(F.col("text"), F.lit(""))).alias("words")
     )
-    counts = corpus_counts(words.select("words"), asked)
     pairs = asked.count()
-    if pairs <= broadcast_pairs:
+    small = pairs <= broadcast_pairs
+    counts = corpus_counts(words.select("words"), asked, small)
+    if small:
         scores = _by_broadcast(words, asked, counts, k)
     else:
         scores = _by_blocks(words, asked, counts, k, ceil(pairs / BLOCK_PAIRS), block_tokens)
@@ -226,6 +238,7 @@ def text_search(
     named = best.select(F.col("query").alias(query_key), "rank", F.col("doc").alias(doc_key), "score")
     if not fields:
         return named
-    return named.join(docs.select(doc_key, *fields), doc_key).select(
+    results, _, _ = written(named, "search-results")
+    return results.join(docs.select(doc_key, *fields), doc_key).select(
         query_key, "rank", doc_key, "score", *fields
     )

@@ -43,7 +43,7 @@ def _search(
     for column, value in criteria.items():
         offers = offers.filter(F.col(column) == F.lit(value))
     if requests is not None:
-        offers = offers.join(requests.select(*key), list(key), "left_semi")
+        offers = offers.join(requests.select(*key).distinct(), list(key), "left_semi")
     return offers.select(*columns)
 
 

@@ -11,7 +11,7 @@ from agentlake.functions.vectors import dot
 from agentlake.operators import lookup, search, vectors
 from agentlake.plans import agents
 from agentlake.plans.catalog import query
-from agentlake.session import scratch_path
+from agentlake.session import scratch_path, written
 from agentlake.sources.cards import read_cards as read_card_files
 from agentlake.sources.cards import with_card_uri as card_uri_of
 
@@ -156,7 +156,8 @@ def embed(f: Fixtures) -> DataFrame:
     ("card_tasks", "card_texts"),
 )
 def assign_agents(f: Fixtures) -> DataFrame:
-    return agents.assign_agents(f.card_tasks, agents.index_cards(f.card_texts))
+    indexed, _, _ = written(agents.index_cards(f.card_texts), "card-index")
+    return agents.assign_agents(f.card_tasks, indexed)
 
 
 @query(

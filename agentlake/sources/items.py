@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agentlake.functions.jsontext import is_object, strict_json
+from agentlake.functions.jsontext import bound, strict_json
 
 # Outcomes of a payload that cannot be used.
 BAD_JSON = "Failed to parse JSON output from kubectl"
@@ -36,21 +36,33 @@ def read_items(
 def read_features(df: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
     """Explode GeoJSON payloads: ``keys, status, pos, properties`` (VARIANT).
 
-    A payload without a feature list and one with an empty list each leave one
-    row with their own status; a feature's status is NULL.
+    A payload without a feature list and one with an empty (or null) list each
+    leave one row with their own status; a feature's status is NULL.
     """
-    parsed = df.select(*keys, strict_json(F.col(text)).alias("_doc"))
-    features = F.when(
-        is_object(F.col("_doc")), F.try_variant_get("_doc", "$.features", "array<variant>")
-    )
-    status = F.when(features.isNull(), F.lit(NO_FEATURES)).when(
-        F.size(features) == 0, F.lit(EMPTY_FEATURES)
-    )
-    return parsed.select(
-        *keys, status.alias("status"), F.posexplode_outer(features).alias("pos", "_feature")
-    ).select(
-        *keys,
-        "status",
-        "pos",
-        F.try_variant_get("_feature", "$.properties", "variant").alias("properties"),
-    )
+
+    def row(status: Column, pos: Column, properties: Column) -> Column:
+        return F.struct(
+            status.cast("string").alias("status"),
+            pos.cast("int").alias("pos"),
+            properties.cast("variant").alias("properties"),
+        )
+
+    none = F.lit(None)
+
+    def rows(features: Column) -> Column:
+        each = F.transform(
+            features, lambda f, i: row(none, i, F.try_variant_get(f, "$.properties", "variant"))
+        )
+        return (
+            F.when(features.isNull(), F.array(row(F.lit(NO_FEATURES), none, none)))
+            .when(F.size(features) == 0, F.array(row(F.lit(EMPTY_FEATURES), none, none)))
+            .otherwise(each)
+        )
+
+    def listed(raw: Column) -> Column:
+        empty = F.array().cast("array<variant>")
+        return F.when(F.is_variant_null(raw), empty).otherwise(F.try_variant_get(raw, "$", "array<variant>"))
+
+    raw = F.try_variant_get(strict_json(F.col(text)), "$.features", "variant")
+    found = bound(bound(raw, listed), rows)
+    return df.select(*keys, F.explode(found).alias("_row")).select(*keys, "_row.*")
