@@ -155,7 +155,7 @@ def _schema(words: DataFrame, asked: DataFrame) -> T.StructType:
 def _by_broadcast(words: DataFrame, asked: DataFrame, counts: DataFrame, k: int) -> DataFrame:
     # Both are within the measured bound: a row per query token, one per token.
     counted = counts.toPandas().set_index("token")
-    docs, length = counted.loc[_TOTAL, ["df", "length"]]
+    docs, length = counted.loc[_TOTAL, ["df", "length"]] if _TOTAL in counted.index else (0, 0)
     pairs = asked.toPandas().join(counted["df"], on="token", how="inner")
     pairs["idf"] = _idf(docs, pairs["df"])
     mean_len = length / docs if docs else 0.0
