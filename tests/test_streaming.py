@@ -72,13 +72,13 @@ def test_crashloop_equals_batch(spark, tmp_path):
         ("n", "d", 101, "deploy"), ("n", "e", 1000, "crash"),
     ]
     rows = as_stream(spark, tmp_path, [data[:3], data[3:6], data[6:9], data[9:]], schema)
-    named = rows.select("namespace", "pod", F.timestamp_seconds("at").alias("ts"), "kind")
+    named = rows.select("namespace", "pod", F.timestamp_seconds(F.col("at") + 1_700_000_000).alias("ts"), "kind")
     crash = F.when(F.col("kind") == "crash", F.lit(waits.CRASHLOOP)).alias("waiting_reason")
     status = named.filter("kind = 'crash'").select("namespace", "pod", "ts", crash)
     deploys = named.filter("kind = 'deploy'").select("namespace", "pod", "ts")
     found = run_available(stream_crashloop(status, deploys, 60), "w")
 
-    table = spark.createDataFrame(data, schema).select("namespace", "pod", F.timestamp_seconds("at").alias("ts"), "kind")
+    table = spark.createDataFrame(data, schema).select("namespace", "pod", F.timestamp_seconds(F.col("at") + 1_700_000_000).alias("ts"), "kind")
     batch = waits.crashloop_wait(
         table.filter("kind = 'crash'").select("namespace", "pod", "ts", crash),
         table.filter("kind = 'deploy'").select("namespace", "pod", "ts"),
