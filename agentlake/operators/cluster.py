@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agentlake.functions.quantity import quantity
-from agentlake.operators.paging import PAGE_ROWS, paged_list, paged_text, same
+from agentlake.operators.paging import PAGE_ROWS, paged_list, paged_text
 
 NOT_AVAILABLE = "N/A"
 POD_KEY = ("namespace", "pod")
@@ -163,11 +163,8 @@ def pod_info(
     """
     event = F.struct("type", "reason", "message", "count", "first_ts", "last_ts")
     collected = paged_list(events, POD_KEY, seq, event, "events", page_rows)
-    found = collected.select(
-        F.col("namespace").alias("_ns"), F.col("pod").alias("_pod"), "page", "events"
-    )
     none = F.array().cast(collected.schema["events"].dataType)
-    return pods.join(found, same(pods, found, {"namespace": "_ns", "pod": "_pod"}), "left").select(
+    return pods.join(collected, list(POD_KEY), "left").select(
         "namespace",
         "pod",
         "details",

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agentlake.operators.paging import key_of
 from agentlake.session import written
 
 
@@ -121,9 +122,9 @@ def run_states(order: DataFrame, outcomes: DataFrame, workflow: str = "workflow_
     that one is PAUSED, later ones stay READY. The first pause is a minimum per
     workflow, so no ordered scan is needed.
     """
-    paused = order.join(_pauses(outcomes), "id", "left")
+    paused = order.join(_pauses(outcomes), "id", "left").withColumn("_key", key_of([workflow]))
     place = F.struct("level", "seq", "id")
-    stops = paused.groupBy(F.col(workflow).alias("_workflow")).agg(
+    stops = paused.groupBy("_key").agg(
         F.min(F.when(F.col("pause_seq").isNotNull(), place)).alias("_stop")
     )
     state = (
@@ -132,7 +133,7 @@ def run_states(order: DataFrame, outcomes: DataFrame, workflow: str = "workflow_
         .otherwise(F.lit("READY"))
     )
     whole = F.when(F.col("_stop").isNull(), F.lit("COMPLETED")).otherwise(F.lit("PAUSED"))
-    return paused.join(stops, paused[workflow].eqNullSafe(stops["_workflow"])).select(
+    return paused.join(stops, "_key").select(
         workflow,
         "id",
         "level",

@@ -33,6 +33,15 @@ def same(left: DataFrame, right: DataFrame, pairs: dict[str, str]) -> Column:
     )
 
 
+def key_of(keys: Sequence[str]) -> Column:
+    """The key columns as one struct, which groups and joins NULL keys too.
+
+    Unlike null-safe equality it leaves the key one expression, so a join after
+    a window or an aggregate on it reuses their partitioning.
+    """
+    return F.struct(*[F.col(k) for k in keys])
+
+
 def with_pages(
     df: DataFrame, keys: Sequence[str], seq: str, page_rows: int = PAGE_ROWS, page: str = "page"
 ) -> DataFrame:
@@ -45,31 +54,22 @@ def with_pages(
     broadcast while it is small and joined on (key, block), which no single key
     dominates, when it is not.
     """
-    keys = list(keys)
-    renamed = {k: f"_hot_{k}" for k in keys}
-    counted = df.groupBy(*[F.col(k).alias(renamed[k]) for k in keys]).agg(F.count(F.lit(1)).alias("_rows"))
-    hot, _, any_hot = written(counted.filter(F.col("_rows") > page_rows), "hot-keys")
+    counted = df.groupBy(key_of(keys).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    hot, _, any_hot = written(counted.filter(F.col("_rows") > page_rows).select("_key"), "hot-keys")
     if not any_hot:
         return df.withColumn(page, F.lit(0))
-    hot = hot.drop("_rows")
-    blocked = df.withColumn("_block", block_of(seq, page_rows))
-    narrow = blocked.select(*keys, "_block")
+    blocked = df.withColumns({"_key": key_of(keys), "_block": block_of(seq, page_rows)})
     counts = (
-        narrow.join(hot, same(narrow, hot, renamed), "left_semi")
-        .groupBy(*[F.col(k).alias(renamed[k]) for k in keys], F.col("_block").alias("_hot_block"))
+        blocked.select("_key", "_block")
+        .join(hot, "_key", "left_semi")
+        .groupBy("_key", "_block")
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    earlier = (
-        Window.partitionBy(*renamed.values())
-        .orderBy("_hot_block")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    earlier = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
     paged = counts.withColumn("_page", (block_of(before, page_rows) / page_rows).cast("int"))
     starts, _, _ = written(paged.drop("_rows").filter("_page > 0"), "page-starts")
-    joined = blocked.join(
-        starts, same(blocked, starts, {**renamed, "_block": "_hot_block"}), "left"
-    )
+    joined = blocked.join(starts, ["_key", "_block"], "left")
     return joined.select(*df.columns, F.coalesce("_page", F.lit(0)).alias(page))
 
 

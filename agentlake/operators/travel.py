@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agentlake.functions.trips import enum_value
-from agentlake.operators.paging import same
 
 # Columns an offer search returns.
 FLIGHT_COLUMNS = ("carrier", "flight_number", "from_airport", "to_airport", "ticket_class", "price")
@@ -288,7 +287,7 @@ def trip_cost(lines: DataFrame, trips: DataFrame) -> DataFrame:
     difference (positive = over budget), nights and days, and ``replan``: set
     when a booking failed or the budget does not hold.
     """
-    totals = lines.groupBy(F.col("trip_id").alias("_trip")).agg(
+    totals = lines.groupBy("trip_id").agg(
         *[
             F.sum(F.when(F.col("category") == c, F.col("amount"))).alias(c)
             for c in CATEGORIES
@@ -304,7 +303,7 @@ def trip_cost(lines: DataFrame, trips: DataFrame) -> DataFrame:
         F.col("no_of_travellers").try_cast("int").alias("travellers"),
     )
     over = F.col("grand_total") - F.col("budget")
-    return asked.join(totals, same(asked, totals, {"trip_id": "_trip"}), "left").select(
+    return asked.join(totals, "trip_id", "left").select(
         "trip_id",
         *CATEGORIES,
         "grand_total",

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agentlake.operators.paging import same
+from agentlake.operators.paging import key_of
 
 # The awaited reason and how long to wait, in seconds.
 CRASHLOOP = "CrashLoopBackOff"
@@ -33,47 +33,43 @@ def crashloop_wait(
     its own bucket, found by a running minimum over deploys and crashes
     together, or is the next bucket's first crash. Deploys and crashes are
     never paired, so a pod that crashes all the time stays linear, and equal
-    instants of a pod are merged before the shuffle.
+    instants of a pod are merged before the shuffle. ``ts`` must not be NULL.
     """
-    keys = list(keys)
-    crashes = status.filter(F.col("waiting_reason") == CRASHLOOP)
+    key = key_of(keys).alias("_key")
 
-    def instants(df: DataFrame, is_crash: bool) -> DataFrame:
-        return (
-            df.select(*keys, F.col("ts").cast("timestamp").alias("ts"))
-            .distinct()
-            .withColumn("_bucket", _bucket(F.col("ts"), timeout))
-            .withColumn("_crash", F.lit(is_crash))
+    def moments(df: DataFrame, crash: bool) -> DataFrame:
+        return df.select(
+            key,
+            F.col("ts").cast("timestamp").alias("ts"),
+            F.lit(crash).alias("_crash"),
+            F.lit(not crash).alias("_deploy"),
         )
 
-    # Latest first; at one instant the crash comes first so that it counts.
+    crashes = status.filter(F.col("waiting_reason") == CRASHLOOP)
+    instants = (
+        moments(crashes, True)
+        .unionByName(moments(deploys, False))
+        .groupBy("_key", _bucket(F.col("ts"), timeout).alias("_bucket"), "ts")
+        .agg(F.max("_crash").alias("_crash"), F.max("_deploy").alias("_deploy"))
+    )
     onward = (
-        Window.partitionBy(*keys, "_bucket")
-        .orderBy(F.col("ts").desc(), F.col("_crash").desc())
+        Window.partitionBy("_key", "_bucket")
+        .orderBy(F.col("ts").desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    waits = (
-        instants(crashes, True)
-        .unionByName(instants(deploys, False))
-        .withColumn("_near", F.min(F.when(F.col("_crash"), F.col("ts"))).over(onward))
-        .filter(~F.col("_crash"))
-    )
+    crash_time = F.when(F.col("_crash"), F.col("ts"))
+    waits = instants.withColumn("_near", F.min(crash_time).over(onward)).filter("_deploy")
     heads = (
-        crashes.select(*keys, F.col("ts").cast("timestamp").alias("ts"))
-        .withColumn("_bucket", _bucket(F.col("ts"), timeout) - 1)
-        .groupBy(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_bucket").alias("_previous"))
+        moments(crashes, True)
+        .groupBy("_key", (_bucket(F.col("ts"), timeout) - 1).alias("_bucket"))
         .agg(F.min("ts").alias("_next"))
     )
-    pairs = {**{k: f"_{k}" for k in keys}, "_bucket": "_previous"}
     first = F.coalesce("_near", "_next")
     in_time = F.unix_micros(first) < F.unix_micros("ts") + timeout * 1_000_000
-    answers = waits.join(heads, same(waits, heads, pairs), "left").select(
-        *[F.col(k).alias(f"_{k}") for k in keys],
-        F.col("ts").alias("_ts"),
-        F.when(in_time, first).alias("crashed_at"),
+    answers = waits.join(heads, ["_key", "_bucket"], "left").select(
+        "_key", "ts", F.when(in_time, first).alias("crashed_at")
     )
-    asked = deploys.withColumn("ts", F.col("ts").cast("timestamp"))
-    matched = {**{k: f"_{k}" for k in keys}, "ts": "_ts"}
-    return asked.join(answers, same(asked, answers, matched)).select(
+    asked = deploys.withColumns({"_key": key, "_at": F.col("ts").cast("timestamp")})
+    return asked.join(answers.withColumnRenamed("ts", "_at"), ["_key", "_at"]).select(
         *deploys.columns, F.col("crashed_at").isNotNull().alias("crashed"), "crashed_at"
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agentlake.operators.paging import PAGE_ROWS, block_of, paged_list, paged_text, same
+from agentlake.operators.paging import PAGE_ROWS, block_of, key_of, paged_list, paged_text
 
 PLANNER_NODE = "planner"
 PLANNER_ARTIFACT = "PlannerAgent-result"
@@ -44,14 +44,10 @@ def truncate_at_terminal(
     done = F.coalesce(F.col("is_task_complete"), F.lit(text_completes))
     asks = F.coalesce(F.col("require_user_input"), F.lit(False))
     outcome = F.when(done, F.lit("complete")).when(asks, F.lit("input_required")).otherwise(F.lit("working"))
-    judged = items.withColumn("outcome", outcome)
-    ends = (
-        judged.filter(F.col("outcome") != "working")
-        .groupBy(F.col(key).alias("_key"))
-        .agg(F.min(seq).alias("_end"))
-    )
+    judged = items.withColumns({"outcome": outcome, "_key": key_of([key])})
+    ends = judged.filter(F.col("outcome") != "working").groupBy("_key").agg(F.min(seq).alias("_end"))
     return (
-        judged.join(ends, judged[key].eqNullSafe(ends["_key"]), "left")
+        judged.join(ends, "_key", "left")
         .filter(F.col("_end").isNull() | (F.col(seq) <= F.col("_end")))
         .drop("_key", "_end")
     )
@@ -72,19 +68,18 @@ def session_islands(
     ``block_rows`` sequence numbers, then over one summary row per block, so a
     hot stream is spread over as many tasks as it has blocks.
     """
-    inside = Window.partitionBy(stream, "_block").orderBy(seq)
-    before = Window.partitionBy("_stream").orderBy("_at")
+    inside = Window.partitionBy("_key", "_block").orderBy(seq)
+    before = Window.partitionBy("_key").orderBy("_block")
     earlier = before.rowsBetween(Window.unboundedPreceding, -1)
     state = F.struct(F.col(context).alias("context"), F.coalesce(completed, F.lit(False)).alias("done"))
     previous = F.lag("_state").over(inside)
     steps = (
-        messages.withColumn("_block", block_of(seq, block_rows))
-        .withColumn("_state", state)
+        messages.withColumns({"_key": key_of([stream]), "_block": block_of(seq, block_rows), "_state": state})
         .withColumn("_break", _clears(previous, F.col("_state")))
         .withColumn("_within", F.sum("_break").over(inside))
     )
     blocks = (
-        steps.groupBy(F.col(stream).alias("_stream"), F.col("_block").alias("_at"))
+        steps.groupBy("_key", "_block")
         .agg(
             F.min_by("_state", seq).alias("_first"),
             F.max_by("_state", seq).alias("_last"),
@@ -92,14 +87,14 @@ def session_islands(
         )
         .withColumn("_start", _clears(F.lag("_last").over(before), F.col("_first")))
         .select(
-            "_stream",
-            "_at",
+            "_key",
+            "_block",
             (
                 F.sum("_start").over(before) + F.coalesce(F.sum("_breaks").over(earlier), F.lit(0))
             ).alias("_offset"),
         )
     )
-    return steps.join(blocks, same(steps, blocks, {stream: "_stream", "_block": "_at"})).select(
+    return steps.join(blocks, ["_key", "_block"]).select(
         *messages.columns, (F.col("_offset") + F.col("_within")).cast("long").alias("island")
     )
 
@@ -173,18 +168,19 @@ def join_parts(
     ``function_response``.
     """
     text = F.nullif(F.col("text"), F.lit(""))
-    heads = parts.groupBy(F.col(key).alias("_key")).agg(
+    keyed = parts.withColumn("_key", key_of([key]))
+    heads = keyed.groupBy("_key").agg(
         F.min_by(text, seq).alias("_first"),
         F.min_by("function_response", F.when(F.col("function_response").isNotNull(), F.col(seq))).alias("_call"),
         F.min_by(agent, seq).alias("_agent"),
     )
-    texts = paged_text(parts.filter(text.isNotNull()), [key], seq, text, "\n", "_text", page_rows)
+    texts = paged_text(keyed.filter(text.isNotNull()), ["_key"], seq, text, "\n", "_text", page_rows)
     speaking = heads.filter(F.col("_first").isNotNull())
-    spoken = speaking.join(texts, speaking["_key"].eqNullSafe(texts[key])).select(
-        F.col("_key").alias(key), "page", F.col("_text").alias("response")
+    spoken = speaking.join(texts, "_key").select(
+        F.col("_key")[key].alias(key), "page", F.col("_text").alias("response")
     )
     other = heads.filter(F.col("_first").isNull()).select(
-        F.col("_key").alias(key),
+        F.col("_key")[key].alias(key),
         F.lit(0).alias("page"),
         F.coalesce(
             "_call", F.concat(F.lit("Error in running agent: "), F.coalesce("_agent", F.lit("")))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from agentlake.operators.cluster import NO_EVENTS, POD_KEY, format_events
 from agentlake.operators.logs import pod_findings
-from agentlake.operators.paging import PAGE_ROWS, same
+from agentlake.operators.paging import PAGE_ROWS
 from agentlake.sources.sinks import task_result
 
 # Texts used when a step brings nothing.
@@ -48,17 +48,12 @@ def troubleshoot(
     )
     good = pods.filter(F.col("error").isNull()).select(*POD_KEY)
 
-    def renamed(df: DataFrame, prefix: str, *columns: str) -> tuple[DataFrame, dict[str, str]]:
-        names = {k: f"_{prefix}_{k}" for k in POD_KEY}
-        return df.select(*[F.col(k).alias(n) for k, n in names.items()], *columns), names
-
-    with_logs, log_key = renamed(logs.distinct(), "log", F.lit(True).alias("_has_logs"))
-    found, found_key = renamed(findings, "found", F.col("findings").alias("_findings"), "failed")
-    told, told_key = renamed(events_text, "event", "page", F.col("events_text").alias("_events"))
-
-    joined = good.join(with_logs, same(good, with_logs, log_key), "left")
-    joined = joined.join(found, same(joined, found, found_key), "left")
-    joined = joined.join(told, same(joined, told, told_key), "left")
+    key = list(POD_KEY)
+    joined = (
+        good.join(logs.select(*key).distinct().withColumn("_has_logs", F.lit(True)), key, "left")
+        .join(findings.select(*key, F.col("findings").alias("_findings"), "failed"), key, "left")
+        .join(events_text.select(*key, "page", F.col("events_text").alias("_events")), key, "left")
+    )
     reported = joined.select(
         *POD_KEY,
         F.coalesce("page", F.lit(0)).alias("page"),
