@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agentlake.functions.quantity import quantity
-from agentlake.operators.paging import PAGE_ROWS, paged_list, paged_text
+from agentlake.operators.paging import PAGE_ROWS, paged_list, paged_text, skew_join
 
 NOT_AVAILABLE = "N/A"
 POD_KEY = ("namespace", "pod")
@@ -101,12 +101,8 @@ def events_of_pod(events: DataFrame, namespace: str, pod: str) -> DataFrame:
 
 def pod_events(events: DataFrame, pods: DataFrame) -> DataFrame:
     """Events whose object is one of ``pods`` (namespace, name)."""
-    wanted = pods.select(F.col("namespace").alias("_ns"), F.col("name").alias("_name")).distinct()
-    return events.join(
-        wanted,
-        (events["namespace"] == wanted["_ns"]) & (events["pod"] == wanted["_name"]),
-        "left_semi",
-    )
+    wanted = pods.select("namespace", F.col("name").alias("pod")).dropna().distinct()
+    return skew_join(events, wanted, POD_KEY, "left_semi")
 
 
 def pod_logs(
@@ -125,11 +121,12 @@ def requested_logs(logs: DataFrame, requests: DataFrame) -> DataFrame:
     A request without a container stands for all of the pod's containers. Each
     line appears once.
     """
+    requests = requests.dropna(subset=list(POD_KEY))
     whole = requests.filter(F.col("container").isNull()).select(*POD_KEY).distinct()
     named = requests.filter(F.col("container").isNotNull()).select(*POD_KEY, "container")
     partly = named.join(whole, list(POD_KEY), "left_anti").distinct()
-    return logs.join(whole, list(POD_KEY), "left_semi").unionByName(
-        logs.join(partly, [*POD_KEY, "container"], "left_semi")
+    return skew_join(logs, whole, POD_KEY, "left_semi").unionByName(
+        skew_join(logs, partly, [*POD_KEY, "container"], "left_semi")
     )
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agentlake.operators.paging import key_of
+from agentlake.operators.paging import skew_join
 from agentlake.session import written
 
 
@@ -122,9 +122,9 @@ def run_states(order: DataFrame, outcomes: DataFrame, workflow: str = "workflow_
     that one is PAUSED, later ones stay READY. The first pause is a minimum per
     workflow, so no ordered scan is needed.
     """
-    paused = order.join(_pauses(outcomes), "id", "left").withColumn("_key", key_of([workflow]))
+    paused = order.join(_pauses(outcomes), "id", "left")
     place = F.struct("level", "seq", "id")
-    stops = paused.groupBy("_key").agg(
+    stops = paused.groupBy(workflow).agg(
         F.min(F.when(F.col("pause_seq").isNotNull(), place)).alias("_stop")
     )
     state = (
@@ -133,7 +133,7 @@ def run_states(order: DataFrame, outcomes: DataFrame, workflow: str = "workflow_
         .otherwise(F.lit("READY"))
     )
     whole = F.when(F.col("_stop").isNull(), F.lit("COMPLETED")).otherwise(F.lit("PAUSED"))
-    return paused.join(stops, "_key").select(
+    return skew_join(paused, stops, [workflow]).select(
         workflow,
         "id",
         "level",
@@ -147,9 +147,9 @@ def emitted_events(states: DataFrame, outcomes: DataFrame) -> DataFrame:
     """Events a run emits: all of completed nodes, those of the paused node up
     to and including the pausing one, none of nodes that never ran."""
     ran = states.filter(F.col("node_state") != "READY").select("id", "node_state")
-    limits = ran.join(_pauses(outcomes), "id", "left")
+    limits = ran.join(_pauses(outcomes), "id", "left").withColumnRenamed("id", "node_id")
     return (
-        outcomes.join(limits, outcomes["node_id"] == limits["id"])
+        skew_join(outcomes, limits.filter(F.col("node_id").isNotNull()), ["node_id"])
         .filter((F.col("node_state") == "COMPLETED") | (F.col("seq") <= F.col("pause_seq")))
         .select(*outcomes.columns)
     )

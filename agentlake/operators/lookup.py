@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agentlake.operators.paging import skew_join
 from agentlake.sources.cards import CARD_URI_PREFIX
 
 
@@ -58,4 +59,4 @@ def describe(objects: DataFrame, **key: str) -> DataFrame:
 
 def describe_many(objects: DataFrame, wanted: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of every wanted object, each once however often it is asked for."""
-    return objects.join(wanted.select(*key).distinct(), list(key), "left_semi")
+    return skew_join(objects, wanted.select(*key).dropna().distinct(), key, "left_semi")

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agentlake.functions.trips import enum_value
+from agentlake.operators.paging import skew_join
+from agentlake.session import written
 
 # Columns an offer search returns.
 FLIGHT_COLUMNS = ("carrier", "flight_number", "from_airport", "to_airport", "ticket_class", "price")
@@ -42,7 +44,7 @@ def _search(
     for column, value in criteria.items():
         offers = offers.filter(F.col(column) == F.lit(value))
     if requests is not None:
-        offers = offers.join(requests.select(*key).distinct(), list(key), "left_semi")
+        offers = skew_join(offers, requests.select(*key).dropna().distinct(), key, "left_semi")
     return offers.select(*columns)
 
 
@@ -71,16 +73,25 @@ def cheapest(offers: DataFrame, key: Sequence[str], price: str, ties: Sequence[s
     return offers.groupBy(*key).agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("offers"))
 
 
+def _kept(best: DataFrame) -> DataFrame:
+    """The reduced offers as a table of known size.
+
+    While it is small Catalyst broadcasts it and the requests are not shuffled
+    at all; beyond that AQE can split the requests of a popular key.
+    """
+    return written(best, "best-offers")[0]
+
+
 def best_flights(flights: DataFrame) -> DataFrame:
-    return cheapest(flights, FLIGHT_KEY, "price", ("carrier", "flight_number", "id"))
+    return _kept(cheapest(flights, FLIGHT_KEY, "price", ("carrier", "flight_number", "id")))
 
 
 def best_hotels(hotels: DataFrame) -> DataFrame:
-    return cheapest(hotels, HOTEL_KEY, "price_per_night", ("name", "id"))
+    return _kept(cheapest(hotels, HOTEL_KEY, "price_per_night", ("name", "id")))
 
 
 def best_cars(cars: DataFrame) -> DataFrame:
-    return cheapest(cars, CAR_KEY, "daily_rate", ("provider", "id"))
+    return _kept(cheapest(cars, CAR_KEY, "daily_rate", ("provider", "id")))
 
 
 def _leg(prefix: str, best: DataFrame, reverse: bool) -> DataFrame:
@@ -215,15 +226,17 @@ def search_with_fallback(
     columns.
     """
     fixed = [c for c in key if c not in relax]
-    exact = cheapest(offers, key, price, ties)
+    exact = _kept(cheapest(offers, key, price, ties))
     shape = F.struct(
         F.col("best")[price].alias(price),
         *[F.col(c).alias(c) for c in relax],
         *[F.col("best")[t].alias(t) for t in ties],
     )
     per_key = exact.select(*key, shape.alias("best"), "offers")
-    open_search = per_key.groupBy(*[F.col(c).alias(f"_open_{c}") for c in fixed]).agg(
-        F.min("best").alias("_open_best"), F.sum("offers").alias("_open_offers")
+    open_search = _kept(
+        per_key.groupBy(*[F.col(c).alias(f"_open_{c}") for c in fixed]).agg(
+            F.min("best").alias("_open_best"), F.sum("offers").alias("_open_offers")
+        )
     )
     hits = per_key.select(
         *[F.col(c).alias(f"_key_{c}") for c in key],
@@ -324,11 +337,8 @@ def ambiguous_places(airports: DataFrame, trips: DataFrame) -> DataFrame:
 
     ``role`` is origin or destination; the answer needed is which airport.
     """
-    several = (
-        airports.groupBy("city")
-        .agg(F.count_distinct("airport").alias("airports"))
-        .filter(F.col("airports") > 1)
-    )
+    counted = airports.groupBy("city").agg(F.count_distinct("airport").alias("airports"))
+    several, _, _ = written(counted.filter(F.col("airports") > 1), "several-airports")
     ends = trips.select(
         "trip_id",
         F.explode(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agentlake.operators.paging import PAGE_ROWS, paged_text, same
+from agentlake.operators.paging import PAGE_ROWS, paged_text, same, skew_join
 
 # Separator of blocks and outcomes of the two forecast steps.
 SEPARATOR = "\n---\n"
@@ -93,7 +93,7 @@ def forecast_for_points(points: DataFrame, grid: DataFrame, forecasts: DataFrame
     forecast_text)``; keys are unique in the two looked-up tables.
     """
     keyed = points.join(grid, "point", "left")
-    found = keyed.join(forecasts, "forecast_key", "left")
+    found = skew_join(keyed, forecasts.filter(F.col("forecast_key").isNotNull()), ["forecast_key"], "left")
     text = (
         F.when(F.col("forecast_key").isNull(), F.lit(NO_POINT))
         .when(F.col("forecast_text").isNull(), F.lit(NO_FORECAST))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agentlake.operators.paging import PAGE_ROWS, block_of, key_of, paged_list, paged_text
+from agentlake.operators.paging import PAGE_ROWS, block_of, key_of, paged_list, paged_text, skew_join
 
 PLANNER_NODE = "planner"
 PLANNER_ARTIFACT = "PlannerAgent-result"
@@ -44,12 +44,12 @@ def truncate_at_terminal(
     done = F.coalesce(F.col("is_task_complete"), F.lit(text_completes))
     asks = F.coalesce(F.col("require_user_input"), F.lit(False))
     outcome = F.when(done, F.lit("complete")).when(asks, F.lit("input_required")).otherwise(F.lit("working"))
-    judged = items.withColumns({"outcome": outcome, "_key": key_of([key])})
-    ends = judged.filter(F.col("outcome") != "working").groupBy("_key").agg(F.min(seq).alias("_end"))
+    judged = items.withColumn("outcome", outcome)
+    ends = judged.filter(F.col("outcome") != "working").groupBy(key).agg(F.min(seq).alias("_end"))
     return (
-        judged.join(ends, "_key", "left")
+        skew_join(judged, ends, [key], "left")
         .filter(F.col("_end").isNull() | (F.col(seq) <= F.col("_end")))
-        .drop("_key", "_end")
+        .drop("_end")
     )
 
 
@@ -193,11 +193,10 @@ def validate_edges(
     nodes: DataFrame, edges: DataFrame, node: str = "id", src: str = "src", dst: str = "dst"
 ) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected) edges; a rejected edge names an end that does not exist."""
-    starts = nodes.select(F.col(node).alias("_start")).distinct()
-    ends = nodes.select(F.col(node).alias("_end")).distinct()
-    checked = edges.join(starts, edges[src] == starts["_start"], "left").join(
-        ends, edges[dst] == ends["_end"], "left"
-    )
+    ids = nodes.select(node).filter(F.col(node).isNotNull()).distinct()
+    starts = ids.select(F.col(node).alias(src), F.lit(True).alias("_start"))
+    ends = ids.select(F.col(node).alias(dst), F.lit(True).alias("_end"))
+    checked = skew_join(skew_join(edges, starts, [src], "left"), ends, [dst], "left")
     known = F.col("_start").isNotNull() & F.col("_end").isNotNull()
     valid = checked.filter(known).select(*edges.columns)
     rejected = checked.filter(~known).select(*edges.columns, F.lit("Invalid node IDs").alias("error"))
