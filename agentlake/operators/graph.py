@@ -90,8 +90,7 @@ def topo_order(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             .agg(F.max("need").alias("need"), F.sum("met").alias("met"))
             .withColumn("level", F.lit(len(paths)))
         )
-        current, path, _ = written(counted, f"level{len(paths)}")
-        more = not current.filter("met = need").isEmpty()
+        current, path, more = written(counted, f"level{len(paths)}", F.col("met") == F.col("need"))
     finished = spark.read.schema(schema).parquet(*paths) if paths else current
     levels = finished.filter("met = need").select("id", "level")
     if not nodes.join(levels, "id", "left_anti").isEmpty():

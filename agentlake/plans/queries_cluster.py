@@ -11,7 +11,9 @@ from agentlake.operators import cluster, logs, waits, weather
 from agentlake.operators.lookup import describe_many
 from agentlake.plans import diagnosis
 from agentlake.plans.catalog import query
+from agentlake.session import scratch_path
 from agentlake.sources import items, sinks
+from agentlake.sources.logs import read_logs as read_log_files
 from agentlake.sources.logs import split_logs
 
 _PODS = """pods as (
@@ -300,6 +302,16 @@ def split_log_texts(f: Fixtures) -> DataFrame:
     return split_logs(f.tables["documents"], ["doc_id"], "text")
 
 
+@query("select namespace, line from log_lines", ("log_lines",))
+def read_logs(f: Fixtures) -> DataFrame:
+    """Write the lines as text files per namespace, then scan the files."""
+    path = scratch_path(f.spark, "logs")
+    f.log_lines.select("namespace", F.col("line").alias("value")).write.partitionBy("namespace").text(path)
+    # The folder names only the namespace.
+    found = read_log_files(f.spark, path, r"namespace=(([^/]+))/()[^/]+$")
+    return found.select("namespace", "line")
+
+
 @query(
     """select event_id as payload_id, 0 as pos, 'Warning' as type, event_type as reason,
            concat('pod-', cast(user_id as string)) as object, cast(event_id % 9 as int) as count,

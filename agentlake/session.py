@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Settings every operator is written against. Streaming state needs RocksDB,
@@ -69,15 +69,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/agentlake/{uuid.uuid4().hex}/{name}"
 
 
-def written(df: DataFrame, name: str) -> tuple[DataFrame, str, bool]:
+def written(df: DataFrame, name: str, where: Column | None = None) -> tuple[DataFrame, str, bool]:
     """Write ``df`` to the shared folder: (the table read back, path, any rows).
 
     This cuts the lineage of iterative jobs. The table survives lost executors,
     is columnar, and its known size lets Catalyst choose the next join. Whether
-    there are rows is observed while writing, so loops need no further job.
+    there are rows (that meet ``where``) is observed while writing, so loops
+    need no further job.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    counted = F.count_if(F.lit(True) if where is None else where)
+    df.observe(seen, counted.alias("rows")).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path, seen.get["rows"] > 0
