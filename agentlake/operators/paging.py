@@ -73,22 +73,23 @@ def with_pages(
     broadcast while it is small and joined on (key, block), which no single key
     dominates, when it is not.
     """
-    counted = df.groupBy(key_of(keys).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
-    hot, _, any_hot = written(counted.filter(F.col("_rows") > page_rows).select("_key"), "hot-keys")
+    key, block = "_page_key", "_page_block"
+    counted = df.groupBy(key_of(keys).alias(key)).agg(F.count(F.lit(1)).alias("_rows"))
+    hot, _, any_hot = written(counted.filter(F.col("_rows") > page_rows).select(key), "hot-keys")
     if not any_hot:
         return df.withColumn(page, F.lit(0))
-    blocked = df.withColumns({"_key": key_of(keys), "_block": block_of(seq, page_rows)})
+    blocked = df.withColumns({key: key_of(keys), block: block_of(seq, page_rows)})
     counts = (
-        blocked.select("_key", "_block")
-        .join(hot, "_key", "left_semi")
-        .groupBy("_key", "_block")
+        blocked.select(key, block)
+        .join(hot, key, "left_semi")
+        .groupBy(key, block)
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    earlier = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(key).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
     paged = counts.withColumn("_page", (block_of(before, page_rows) / page_rows).cast("int"))
     starts, _, _ = written(paged.drop("_rows").filter("_page > 0"), "page-starts")
-    joined = blocked.join(starts, ["_key", "_block"], "left")
+    joined = blocked.join(starts, [key, block], "left")
     return joined.select(*df.columns, F.coalesce("_page", F.lit(0)).alias(page))
 
 

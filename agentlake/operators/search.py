@@ -29,7 +29,7 @@ BLOCK_PAIRS = 200_000
 BLOCK_QUERIES = 1_000
 #: Documents scored at a time, and numbers in one dense block.
 CHUNK_ROWS = 512
-BLOCK_CELLS = 16_000_000
+BLOCK_CELLS = 4_000_000
 
 _TOTAL = ""  # Stands for "any document" among the counted tokens.
 

@@ -118,6 +118,8 @@ def top_match(
 ) -> DataFrame:
     """Items with the highest dot product per query: ``query_key, item, score, rank``.
 
+    Keys are unique in each table; rows without a vector take no part.
+
     Scores are rounded to six decimals before they are compared; ties go to the
     smaller item key. The item side is measured first. Up to
     ``broadcast_bytes`` it is sent to the workers once and the queries are

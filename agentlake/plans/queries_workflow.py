@@ -273,7 +273,7 @@ def stream_truncate(f: Fixtures) -> DataFrame:
 def stream_crashloop(f: Fixtures) -> DataFrame:
     nation = f.tables["nation"]
     events = _event_stream(f)
-    named = events.join(F.broadcast(nation), events["user_id"] % 25 == nation["n_nationkey"]).select(
+    named = events.join(nation, events["user_id"] % 25 == nation["n_nationkey"]).select(
         F.col("n_name").alias("namespace"),
         F.concat(F.lit("pod-"), F.col("user_id").cast("string")).alias("pod"),
         "ts",

@@ -43,3 +43,49 @@ def test_negative_and_sparse_numbers(spark):
     collected = sorted(pages.collect(), key=lambda r: r.page)
     assert [n for p in collected for n in p["all"]] == [i * 1_000_003 for i in range(-500, 500)]
     assert max(len(p["all"]) for p in collected) <= 200
+
+
+def test_message_parts_of_a_hot_message(spark):
+    from agentlake.operators.workflow import join_parts
+
+    parts = spark.range(900).select(
+        (F.col("id") % 3 * 0 + 1).alias("message_id"), F.col("id").alias("seq"), F.lit("A").alias("agent_name"),
+        F.concat(F.lit("t"), F.col("id").cast("string")).alias("text"), F.lit(None).cast("string").alias("function_response"),
+    )
+    pages = join_parts(parts, page_rows=100).orderBy("page").collect()
+    assert len(pages) > 4
+    assert "\n".join(p.response for p in pages) == "\n".join(f"t{i}" for i in range(900))
+
+
+def test_events_and_histories_of_hot_keys(spark):
+    from agentlake.operators import cluster, workflow
+
+    hot = spark.range(900).select(
+        F.lit("n").alias("namespace"), F.lit("p").alias("pod"), F.col("id").alias("seq"), F.lit("Normal").alias("type"),
+        F.col("id").cast("string").alias("reason"), F.lit("m").alias("message"), F.lit(1).alias("count"),
+        F.lit("a").alias("first_ts"), F.lit("b").alias("last_ts"),
+    )
+    pods = spark.createDataFrame([("n", "p", "d"), ("n", "q", "d")], "namespace string, pod string, details string")
+    info = cluster.pod_info(pods, hot, page_rows=100).orderBy("pod", "page").collect()
+    assert [e.reason for page in info for e in page.events] == [str(i) for i in range(900)]
+    assert info[-1].pod == "q" and info[-1].events == []
+    messages = spark.range(900).select(
+        F.lit("s").alias("stream_id"), F.col("id").alias("seq"), F.lit("c").alias("context_id"),
+        F.col("id").cast("string").alias("query"), F.lit(False).alias("completed"),
+    )
+    pages = workflow.session_history(workflow.session_islands(messages, block_rows=70), page_rows=100)
+    assert [q for p in pages.orderBy("page").collect() for q in p.history] == [str(i) for i in range(900)]
+
+
+def test_alerts_of_a_hot_state(spark):
+    from agentlake.operators.weather import SEPARATOR, format_alerts
+    from agentlake.sources.items import read_features
+
+    payloads = spark.range(600).select(
+        F.lit("CA").alias("state"), F.col("id").alias("seq"),
+        F.concat(F.lit('{"features": [{"properties": {"event": "e'), F.col("id").cast("string"), F.lit('"}}]}')).alias("text"),
+    )
+    pages = format_alerts(read_features(payloads, "text", ["state", "seq"]), page_rows=100).orderBy("page").collect()
+    assert len(pages) > 3
+    events = [a.split("\n")[1] for p in pages for a in p.alerts_text.split(SEPARATOR)]
+    assert events == [f"Event: e{i}" for i in range(600)]
