@@ -145,10 +145,17 @@ def _event_line() -> Column:
 
 
 def format_events(
-    events: DataFrame, keys: Sequence[str] = POD_KEY, seq: str = "seq", page_rows: int = PAGE_ROWS
+    events: DataFrame,
+    keys: Sequence[str] = POD_KEY,
+    seq: str = "seq",
+    page_rows: int = PAGE_ROWS,
+    then: Sequence[str] = (),
 ) -> DataFrame:
-    """One line per event, in order: ``keys, page, events_text``."""
-    return paged_text(events, keys, seq, _event_line(), "\n", "events_text", page_rows)
+    """One line per event, in order: ``keys, page, events_text``.
+
+    ``then`` orders events of one ``seq``, such as items of one list.
+    """
+    return paged_text(events, keys, seq, _event_line(), "\n", "events_text", page_rows, then)
 
 
 def pod_info(

@@ -64,9 +64,11 @@ def key_of(keys: Sequence[str]) -> Column:
 def with_pages(
     df: DataFrame, keys: Sequence[str], seq: str, page_rows: int = PAGE_ROWS, page: str = "page"
 ) -> DataFrame:
-    """Add ``page``: at most ``2 * page_rows`` rows share a key and a page.
+    """Add ``page``: about ``page_rows``, at most twice as many rows share a key
+    and a page.
 
-    ``seq`` must be unique within a key. Rows per key are counted first, with
+    Rows of one key and one ``seq`` stay together, so ``seq`` is unique within
+    a key, or shared by a few rows only. Rows per key are counted first, with
     partial counts and only the key columns read. When no key has more than
     ``page_rows`` rows, which is the usual case, nothing else is done. Else the
     blocks of those keys get a page each; that table's size is known, so it is
@@ -93,9 +95,13 @@ def with_pages(
     return joined.select(*df.columns, F.coalesce("_page", F.lit(0)).alias(page))
 
 
-def _sorted_rows(seq: str, value: Column) -> Column:
-    rows = F.sort_array(F.collect_list(F.struct(F.col(seq).alias("seq"), value.alias("value"))))
-    return rows.getField("value")
+def _pages(
+    df: DataFrame, keys: Sequence[str], seq: str, value: Column, then: Sequence[str], page_rows: int
+) -> tuple[DataFrame, Column]:
+    order = {f"_order_{i}": F.col(c) for i, c in enumerate((seq, *then))}
+    lean = df.select(*keys, *[c.alias(n) for n, c in order.items()], value.alias("_value"))
+    rows = F.sort_array(F.collect_list(F.struct(*order, "_value")))
+    return with_pages(lean, keys, "_order_0", page_rows), rows.getField("_value")
 
 
 def paged_text(
@@ -106,14 +112,15 @@ def paged_text(
     separator: str,
     out: str,
     page_rows: int = PAGE_ROWS,
+    then: Sequence[str] = (),
 ) -> DataFrame:
-    """``text`` of each key joined in ``seq`` order: (keys, page, out)."""
-    lean = df.select(*keys, F.col(seq).alias("_seq"), text.alias("_text"))
-    return (
-        with_pages(lean, keys, "_seq", page_rows)
-        .groupBy(*keys, "page")
-        .agg(F.array_join(_sorted_rows("_seq", F.col("_text")), separator).alias(out))
-    )
+    """``text`` of each key joined in ``seq`` order: (keys, page, out).
+
+    ``then`` orders the few rows that share one ``seq``, such as the items of
+    one document.
+    """
+    pages, rows = _pages(df, keys, seq, text, then, page_rows)
+    return pages.groupBy(*keys, "page").agg(F.array_join(rows, separator).alias(out))
 
 
 def paged_list(
@@ -123,11 +130,8 @@ def paged_list(
     value: Column,
     out: str,
     page_rows: int = PAGE_ROWS,
+    then: Sequence[str] = (),
 ) -> DataFrame:
     """``value`` of each key as an array in ``seq`` order: (keys, page, out)."""
-    lean = df.select(*keys, F.col(seq).alias("_seq"), value.alias("_value"))
-    return (
-        with_pages(lean, keys, "_seq", page_rows)
-        .groupBy(*keys, "page")
-        .agg(_sorted_rows("_seq", F.col("_value")).alias(out))
-    )
+    pages, rows = _pages(df, keys, seq, value, then, page_rows)
+    return pages.groupBy(*keys, "page").agg(rows.alias(out))

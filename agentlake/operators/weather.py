@@ -37,11 +37,12 @@ def format_alerts(
 ) -> DataFrame:
     """Alerts of each state in order: ``keys, page, alerts_text``.
 
-    Takes ``read_features`` rows with an order column. A state that only has
+    Takes ``read_features`` rows; ``seq`` orders payloads, and features follow
+    their place within one. A state that only has
     failed or empty payloads shows the status of the first of them.
     """
     alerts = paged_text(
-        features.filter(F.col("status").isNull()), keys, seq, alert_text(), SEPARATOR, "_text", page_rows
+        features.filter(F.col("status").isNull()), keys, seq, alert_text(), SEPARATOR, "_text", page_rows, ("pos",)
     )
     outcome = features.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
         F.min_by("status", seq).alias("_status")

@@ -189,3 +189,43 @@ def test_weather_texts(spark):
     texts = spark.createDataFrame([("k", "fine")], "forecast_key string, forecast_text string")
     answers = {r.point: r.forecast_text for r in weather.forecast_for_points(points, grid, texts).collect()}
     assert answers == {"x": "fine", "y": weather.NO_FORECAST, "z": weather.NO_POINT}
+
+
+def test_alerts_keep_payload_and_feature_order(spark):
+    from agentlake.sources.items import EMPTY_FEATURES, read_features
+
+    df = spark.createDataFrame(
+        [
+            ("CA", 2, '{"features": [{"properties": {"event": "c", "severity": null}}]}'),
+            ("CA", 1, '{"features": [{"properties": {"event": "b"}}, {"properties": {"event": "a", "areaDesc": "x"}}]}'),
+            ("NV", 1, '{"features": []}'),
+        ],
+        "state string, seq long, text string",
+    )
+    found = {r.state: r.alerts_text for r in weather.format_alerts(read_features(df, "text", ["state", "seq"])).collect()}
+    assert found["NV"] == EMPTY_FEATURES
+    blocks = found["CA"].split(weather.SEPARATOR)
+    assert [b.split("\n")[1] for b in blocks] == ["Event: b", "Event: a", "Event: c"]
+    assert blocks[1] == (
+        "\nEvent: a\nArea: x\nSeverity: Unknown\nDescription: No description available\n"
+        "Instructions: No specific instructions provided\n"
+    )
+    assert "Severity: Unknown" in blocks[2]
+
+
+def test_random_waits_of_a_hot_pod(spark):
+    import random
+
+    rng = random.Random(5)
+    pods = ["hot"] * 4 + ["a", "b"]
+    status = [(rng.choice(pods), rng.randrange(0, 3000), rng.choice([waits.CRASHLOOP, "Creating"])) for _ in range(120)]
+    deploys = [(rng.choice(pods), rng.randrange(-100, 3000)) for _ in range(300)]
+    ns = F.lit("n").alias("namespace")
+    s = spark.createDataFrame(status, "pod string, at long, waiting_reason string")
+    d = spark.createDataFrame(deploys, "pod string, at long")
+    found = waits.crashloop_wait(
+        s.select(ns, "pod", F.timestamp_seconds("at").alias("ts"), "waiting_reason"),
+        d.select(ns, "pod", "at", F.timestamp_seconds("at").alias("ts")),
+        timeout=37,
+    ).select("pod", "at", F.unix_seconds("crashed_at").alias("hit"))
+    assert sorted((tuple(r) for r in found.collect()), key=str) == wait_model(status, deploys, 37)
