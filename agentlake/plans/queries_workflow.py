@@ -203,10 +203,13 @@ def emitted_events(f: Fixtures) -> DataFrame:
 
 
 def _event_stream(f: Fixtures) -> DataFrame:
-    """The events table as a stream."""
-    folder = f.folder
-    schema = f.tables["events"].schema
-    return f.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    """The events table as a stream.
+
+    The path is a pattern: a stream reads folders and patterns, no single file,
+    and the table may be either.
+    """
+    path = f"{f.folder.rstrip('/')}/events.parque[t]"
+    return f.spark.readStream.schema(f.tables["events"].schema).parquet(path)
 
 
 @query(

@@ -11,6 +11,12 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 ITEM_SCHEMA = "task_id long, seq long, content string, outcome string"
 
 
+def _outcome(row: Row) -> str:
+    if row["is_task_complete"]:
+        return "complete"
+    return "input_required" if row["require_user_input"] else "working"
+
+
 class _UntilTerminal(StatefulProcessor):
     def __init__(self, ttl_ms: int | None) -> None:
         self._ttl_ms = ttl_ms
@@ -21,17 +27,21 @@ class _UntilTerminal(StatefulProcessor):
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         if self._closed.exists():
             return
-        for row in sorted(rows, key=lambda r: r["seq"]):
-            if row["is_task_complete"]:
-                outcome = "complete"
-            elif row["require_user_input"]:
-                outcome = "input_required"
-            else:
-                outcome = "working"
-            yield Row(task_id=key[0], seq=row["seq"], content=row["content"], outcome=outcome)
+        # Rows come in no order: drop those after the earliest end seen so far,
+        # so little is held for a task that ends in this batch.
+        end, kept = None, []
+        for row in rows:
+            if end is not None and row["seq"] > end:
+                continue
+            outcome = _outcome(row)
+            kept.append((row["seq"], row["content"], outcome))
             if outcome != "working":
-                self._closed.update((True,))
-                return
+                end = row["seq"]
+        for seq, content, outcome in kept:
+            if end is None or seq <= end:
+                yield Row(task_id=key[0], seq=seq, content=content, outcome=outcome)
+        if end is not None:
+            self._closed.update((True,))
 
     def close(self) -> None:
         pass
