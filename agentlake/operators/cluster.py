@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from agentlake.functions.quantity import quantity
 from agentlake.operators.paging import PAGE_ROWS, paged_list, paged_text, skew_join
 
+# Placeholders of the listings and texts.
 NOT_AVAILABLE = "N/A"
 POD_KEY = ("namespace", "pod")
 NO_EVENTS = "No events found"

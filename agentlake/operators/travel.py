@@ -28,6 +28,12 @@ CAR_KEY = ("city", "type_of_car")
 CHECK_IN_TIME = "3:00 pm"
 CHECK_OUT_TIME = "11:00 am"
 
+# Fixed value: the question that offers an alternative, around its name.
+FALLBACK_QUESTION = (
+    "I could not find any {} that match your criteria, but I found ",
+    ", would you like to book that instead?",
+)
+
 CATEGORIES = ("flights", "accommodation", "car_rental")
 
 
@@ -252,14 +258,8 @@ def search_with_fallback(
         .otherwise(F.lit("none"))
     )
     offered = F.concat_ws(" ", *[F.col("_open_best")[c] for c in relax])
-    question = F.when(
-        kind == "relaxed",
-        F.concat(
-            F.lit(f"I could not find any {noun} that match your criteria, but I found "),
-            offered,
-            F.lit(", would you like to book that instead?"),
-        ),
-    )
+    before, after = FALLBACK_QUESTION
+    question = F.when(kind == "relaxed", F.concat(F.lit(before.format(noun)), offered, F.lit(after)))
     return joined.select(
         "request_id",
         kind.alias("match_kind"),

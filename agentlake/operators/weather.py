@@ -16,7 +16,10 @@ NO_FORECAST = "Unable to fetch detailed forecast."
 
 
 def alert_text(properties: str = "properties") -> Column:
-    """Labelled lines of one alert held as VARIANT."""
+    """Labelled lines of one alert held as VARIANT.
+
+    Labels and defaults are fixed values of the text format.
+    """
 
     def shown(key: str, default: str) -> Column:
         value = F.try_variant_get(properties, f"$.{key}", "string")
@@ -56,7 +59,7 @@ def format_alerts(
 
 
 def period_text(period: Column) -> Column:
-    """Four lines of one forecast period."""
+    """Four lines of one forecast period; the labels are fixed values."""
     return F.concat(
         F.lit("\n"), period["name"], F.lit(":"),
         F.lit("\nTemperature: "), period["temperature"].cast("string"),
