@@ -93,7 +93,7 @@ def markdown_pods(f: Fixtures) -> DataFrame:
 def to_envelope(f: Fixtures) -> DataFrame:
     pods = cluster.list_pods(f.pods, None).withColumn("seq", F.substring("pod_name", 5, 20).cast("long"))
     columns = ("pod_name", "status", "cpu_request", "memory_request")
-    envelopes = sinks.to_envelope(pods, ["namespace"], "seq", columns, "pods", page_rows=1_000_000)
+    envelopes = sinks.to_envelope(pods, ["namespace"], "seq", columns, "pods")
     asked = f.spark.range(30).select(F.concat(F.lit("NATION_"), F.col("id").cast("string")).alias("namespace"))
     return sinks.envelopes_for(asked, envelopes, "namespace", "pods")
 
@@ -376,7 +376,7 @@ def read_features(f: Fixtures) -> DataFrame:
 )
 def format_alerts(f: Fixtures) -> DataFrame:
     features = items.read_features(f.alert_payloads, "text", ["state", "seq"])
-    return weather.format_alerts(features, page_rows=1_000_000)
+    return weather.format_alerts(features)
 
 
 _PERIOD = """concat(chr(10), {name}, ':', chr(10), 'Temperature: ', cast(temperature as string), '°',
