@@ -23,9 +23,13 @@ from agentlake.operators.paging import skew_join
 from agentlake.session import written
 
 #: Counters of the sketch of n-gram frequencies, and elements of one trie task.
-SKETCH = 1 << 20
-SKETCH_PARTS = 16
+SKETCH = 1 << 23
+SKETCH_PARTS = 64
 TASK_ELEMENTS = 2_000_000
+#: Bits of the filter that keeps texts without a bucket out of the shuffle, and
+#: of an n-gram's hash inside a bucket.
+FILTER_BITS = 1 << 24
+BUCKET_BITS = np.uint64((1 << 48) - 1)
 
 
 def ngrams(raw: bytes, n: int, hashes: WordHashes) -> np.ndarray:
@@ -47,9 +51,36 @@ def needed(size, percent: int):
     return -(-percent * size // 100)
 
 
+def set_name(codes: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(codes.tobytes())
+
+
+def set_number(codes: np.ndarray) -> int:
+    return int.from_bytes(set_name(codes)[:8], "little", signed=True)
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Whole numbers byte by byte, so that high zero bytes compress away."""
+    return packed(np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T)
+
+
+def _unplaned(raw: bytes, kind) -> np.ndarray:
+    planes = unpacked(raw, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
+def short_set(codes: np.ndarray) -> bytes:
+    """A set for a bucket: the gaps between its shortened hashes."""
+    return _planes(np.diff(np.unique(codes & BUCKET_BITS), prepend=np.uint64(0)))
+
+
+def long_set(raw: bytes) -> np.ndarray:
+    return np.cumsum(_unplaned(raw, np.uint64), dtype=np.uint64)
+
+
 def ordered(codes: np.ndarray, sketch: np.ndarray) -> np.ndarray:
     """A set in the global order: falling frequency by the sketch, then hash."""
-    return codes[np.lexsort((codes, -sketch[codes & np.uint64(len(sketch) - 1)].astype(np.int64)))]
+    return codes[np.lexsort((codes, -sketch[(codes & np.uint64(len(sketch) - 1)).astype(np.int64)]))]
 
 
 class Trie:
@@ -160,25 +191,25 @@ def frequency_sketch(texts: DataFrame, n: int, sketch: int = SKETCH) -> np.ndarr
     part = sketch // SKETCH_PARTS
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, counts = WordHashes(300_000), np.zeros(sketch, np.int64)
+        hashes, counts = WordHashes(300_000), np.zeros(sketch, np.int32)
         for batch in batches:
             for raw in batch["text"]:
                 np.add.at(counts, (ngrams(raw, n, hashes) & np.uint64(sketch - 1)).astype(np.int64), 1)
         if counts.any():
-            yield pd.DataFrame({"part": range(SKETCH_PARTS), "counts": [packed(counts[i * part : (i + 1) * part].astype(np.int32)) for i in range(SKETCH_PARTS)]})
+            yield pd.DataFrame({"part": range(SKETCH_PARTS), "counts": [_planes(counts[i * part : (i + 1) * part]) for i in range(SKETCH_PARTS)]})
 
     def added(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total, key = np.zeros(part, np.int64), None
         for frame in frames:
             for key, raw in zip(frame["part"], frame["counts"]):
-                total += unpacked(raw, np.int32)
-        yield pd.DataFrame({"part": [key], "counts": [packed(total)]})
+                total += _unplaned(raw, np.int32)
+        yield pd.DataFrame({"part": [key], "counts": [_planes(np.minimum(total, 2**31 - 1).astype(np.int32))]})
 
     partial = texts.mapInPandas(counted, "part int, counts binary")
     rows = partial.groupBy("part").applyInPandas(added, "part int, counts binary").collect()
-    whole = np.zeros(sketch, np.int64)
+    whole = np.zeros(sketch, np.int32)
     for r in rows:
-        whole[r["part"] * part : (r["part"] + 1) * part] = unpacked(r["counts"], np.int64)
+        whole[r["part"] * part : (r["part"] + 1) * part] = _unplaned(r["counts"], np.int32)
     return whole
 
 
@@ -204,47 +235,46 @@ def jaccard_groups(
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), as_bytes(F.col(text)).alias("text"))
-    order = spark.sparkContext.broadcast(frequency_sketch(rows.select("text"), n, sketch).astype(np.int32))
+    order = spark.sparkContext.broadcast(frequency_sketch(rows.select("text"), n, sketch))
 
     def postings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """A row per document (token NULL) and one per candidate element of a set."""
+        """A row per document, and one (token, s) per last element of a set s."""
         hashes, table = WordHashes(300_000), order.value
         for batch in batches:
-            ids, names, sizes, tokens, own = [], [], [], [], {}
+            keys, made, last = [], [], {}
             for key, raw in zip(batch["doc_id"], batch["text"]):
                 codes = ngrams(raw, n, hashes)
-                key = None if key is None or key != key else int(key)
-                name = xxhash.xxh3_128_digest(codes.tobytes())
-                ids.append(key)
-                names.append(name)
-                sizes.append(len(codes))
-                tokens.append(None)
-                if key is not None and len(codes):
-                    seen = own.get(name)
-                    if seen is None or key < seen[0]:
-                        own[name] = (key, codes)
-            for name, (key, codes) in own.items():
-                last = ordered(codes, table)[needed(len(codes), percent) - 1 :]
-                ids += [key] * len(last)
-                names += [name] * len(last)
-                sizes += [len(codes)] * len(last)
-                tokens += last.view(np.int64).tolist()
-            yield pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "set_id": names, "n": sizes, "token": pd.array(tokens, "Int64")})
-
-    made = rows.mapInPandas(postings, "doc_id long, set_id binary, n long, token long")
-    path_of = written(made.withColumn("is_doc", F.col("token").isNull()), "postings")[0]
-    listed = path_of.filter("is_doc").select("doc_id", "set_id", "n")
-    posted = path_of.filter("NOT is_doc").select("token", F.xxhash64("set_id").alias("s"), "doc_id", "n")
-
-    # An element held by several sets names a bucket after its least document.
+                keys.append(None if key is None or key != key else int(key))
+                made.append((set_name(codes), set_number(codes), len(codes)))
+                if keys[-1] is not None and len(codes) and made[-1][1] not in last:
+                    last[made[-1][1]] = ordered(codes, table)[needed(len(codes), percent) - 1 :].view(np.int64)
+            yield pd.DataFrame(
+                {"doc_id": pd.array(keys, "Int64"), "set_id": [m[0] for m in made], "s": [m[1] for m in made], "n": [m[2] for m in made]}
+            )
+            if last:
+                numbers = np.repeat(np.array(list(last), np.int64), [len(t) for t in last.values()])
+                yield pd.DataFrame({"doc_id": None, "set_id": None, "s": numbers, "n": None, "token": np.concatenate(list(last.values()))})
+
+    def aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in postings(batches):
+            if "token" not in frame:
+                frame["token"] = pd.array([None] * len(frame), "Int64")
+            yield frame.astype({"doc_id": "Int64", "n": "Int64"})
+
+    made, _, _ = written(rows.mapInPandas(aligned, "doc_id long, set_id binary, s long, n long, token long"), "postings")
+    listed = made.filter("set_id IS NOT NULL").select("doc_id", "set_id", "s", "n")
+    posted = made.filter("token IS NOT NULL").select("token", "s")
+
+    # An element held by several sets names a bucket, after the least of them.
     leaders = (
         posted.groupBy("token")
-        .agg(F.min("doc_id").alias("leader"), F.min("s").alias("low"), F.max("s").alias("high"))
-        .filter("low <> high")
+        .agg(F.min("s").alias("leader"), F.max("s").alias("high"))
+        .filter("leader <> high")
         .select("token", "leader")
     )
-    met = skew_join(posted, leaders, ["token"]).groupBy("leader", "s").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
-    members, _, some = written(met.filter("n > 0"), "members")
+    met = skew_join(posted, leaders, ["token"]).select("leader", "s").distinct()
+    classes = listed.filter("n > 0 AND doc_id IS NOT NULL").groupBy("s").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
+    members, _, some = written(skew_join(met, classes, ["s"]), "members")
     if not some:
         links = spark.createDataFrame([], "a long, b long")
     else:
@@ -272,35 +302,54 @@ def _bucket_links(rows: DataFrame, members: DataFrame, n: int, percent: int, ord
     # Buckets that fit a task are one group. Larger ones are cut into chunks;
     # members that link with the leader are one class, so only pairs of chunks
     # with a member that does not are compared.
-    sized = members.groupBy("leader").agg(F.ceil(F.sum("n") / F.lit(task_elements)).cast("int").alias("chunks"))
-    placed = skew_join(members.filter("doc_id IS NOT NULL"), sized, ["leader"])
-    texts = rows.filter("doc_id IS NOT NULL").select("doc_id", "text")
-    wanted = members.select("doc_id").distinct()
-    once = skew_join(texts, wanted, ["doc_id"], "left_semi")
+    chunks = F.ceil(F.sum("n") / F.lit(task_elements)).cast("int")
+    sized, _, any_big = written(members.groupBy("leader").agg(chunks.alias("chunks")), "buckets", F.col("chunks") > 1)
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    bits = members.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 AS int))")).alias("bits")
+    )
+    taken = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in bits.toLocalIterator():
+        taken[r["word"]] = r["bits"]
+    in_bucket = rows.sparkSession.sparkContext.broadcast(taken)
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, table = WordHashes(300_000), order.value
+    def asked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = in_bucket.value
         for batch in batches:
-            made = [ordered(ngrams(raw, n, hashes), table) for raw in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "codes": [packed(c) for c in made], "s": [_set_key(c) for c in made]})
+            at = batch["slot"].to_numpy(np.int64)
+            yield batch[(held[at >> 6] >> (at & 63)) & 1 == 1]
 
-    built = once.mapInPandas(sets, "doc_id long, codes binary, s binary").withColumn("s", F.xxhash64("s"))
-    full, _, _ = written(
-        skew_join(placed, built, ["doc_id", "s"]).select("leader", "doc_id", "codes", "chunks"), "bucket-sets"
+    texts = rows.filter("doc_id IS NOT NULL").withColumn("slot", slot).mapInPandas(asked, "doc_id long, text binary, slot long")
+    wanted = skew_join(members, sized, ["leader"]).groupBy("doc_id").agg(F.collect_list(F.struct("leader", "chunks", "s")).alias("buckets"))
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = WordHashes(300_000)
+        for batch in batches:
+            codes = [ngrams(raw, n, hashes) for raw in batch["text"]]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "own": [set_number(c) for c in codes], "codes": [short_set(c) for c in codes], "buckets": batch["buckets"]})
+
+    bucket = "array<struct<leader:long,chunks:int,s:long>>"
+    full = (
+        skew_join(texts, wanted, ["doc_id"])
+        .select("doc_id", "text", "buckets")
+        .mapInPandas(sets, f"doc_id long, own long, codes binary, buckets {bucket}")
+        .select("doc_id", "own", "codes", F.explode("buckets").alias("b"))
+        .filter("own = b.s")
+        .select("b.leader", "doc_id", "codes", "b.chunks", "own")
     )
     small = full.filter("chunks <= 1").select("leader", F.lit("").alias("pair"), "doc_id", "codes")
-    big, _, any_big = written(full.filter("chunks > 1"), "large-buckets")
     found = _trie_join(small, percent, order)
     if not any_big:
         return found
 
-    heads = big.filter("doc_id = leader").select("leader", F.col("codes").alias("head")).dropDuplicates(["leader"])
+    big, _, _ = written(full.filter("chunks > 1"), "large-buckets")
+    heads = big.filter("own = leader").select("leader", F.col("codes").alias("head"), F.col("doc_id").alias("first")).dropDuplicates(["leader"])
 
     @F.pandas_udf("boolean")
     def near(codes: pd.Series, head: pd.Series) -> pd.Series:
         out = []
         for x, y in zip(codes, head):
-            a, b = unpacked(x, np.uint64), unpacked(y, np.uint64)
+            a, b = long_set(x), long_set(y)
             same = len(np.intersect1d(a, b, assume_unique=True))
             out.append(100 * same >= percent * (len(a) + len(b) - same))
         return pd.Series(out, dtype=bool)
@@ -308,7 +357,7 @@ def _bucket_links(rows: DataFrame, members: DataFrame, n: int, percent: int, ord
     marked, _, _ = written(
         skew_join(big, heads, ["leader"]).withColumn("near", near("codes", "head")).drop("head"), "marked"
     )
-    starred = marked.filter("near").select(F.col("doc_id").alias("a"), F.col("leader").alias("b"))
+    starred = marked.filter("near").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     counts = marked.groupBy("leader").agg(F.count_if(~F.col("near")).alias("far"), F.count(F.lit(1)).alias("all"))
     cut = skew_join(marked, counts, ["leader"]).withColumns(
         {
@@ -335,22 +384,18 @@ def _bucket_links(rows: DataFrame, members: DataFrame, n: int, percent: int, ord
     return found.unionByName(starred).unionByName(_trie_join(large, percent, order))
 
 
-def _set_key(codes: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(np.sort(codes).tobytes())
-
-
 def _trie_join(buckets: DataFrame, percent: int, order) -> DataFrame:
     """Links inside each (leader, pair), as stars around the least member of a class."""
 
     def join(ids: list[int], codes: list[bytes], table: np.ndarray) -> list[tuple[int, int]]:
         own = sorted(set(zip(ids, codes)))
-        sets = [unpacked(c, np.uint64) for _, c in own]
+        sets = [long_set(c) for _, c in own]
         # Ranks in the global order turn the sets into rising whole numbers.
         distinct = ordered(np.unique(np.concatenate(sets)), table)
         by_hash = np.argsort(distinct)
         sorted_hashes = distinct[by_hash]
         merge = Classes(len(own))
-        linked_pairs([by_hash[np.searchsorted(sorted_hashes, s)] for s in sets], percent, merge)
+        linked_pairs([np.sort(by_hash[np.searchsorted(sorted_hashes, s)]) for s in sets], percent, merge)
         return [(own[i][0], own[m[0]][0]) for m in map(sorted, merge.members.values()) for i in m[1:]]
 
     def joins(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
