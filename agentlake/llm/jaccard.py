@@ -10,6 +10,7 @@ leaves a branch when the elements that remain cannot reach the overlap needed.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import exp, log
 
 import numpy as np
 import pandas as pd
@@ -23,7 +24,7 @@ from agentlake.operators.paging import skew_join
 from agentlake.session import written
 
 #: Counters of the sketch of n-gram frequencies, and elements of one trie task.
-SKETCH = 1 << 23
+SKETCH = 1 << 25
 SKETCH_PARTS = 64
 TASK_ELEMENTS = 2_000_000
 #: Bits of the filter that keeps texts without a bucket out of the shuffle, and
@@ -32,6 +33,13 @@ FILTER_BITS = 1 << 24
 BUCKET_BITS = np.uint64((1 << 48) - 1)
 
 
+def distinct(codes: np.ndarray) -> np.ndarray:
+    codes = np.sort(codes)
+    first = np.ones(len(codes), bool)
+    first[1:] = codes[1:] != codes[:-1]
+    return codes[first]
+
+
 def ngrams(raw: bytes, n: int, hashes: WordHashes) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the n-grams of words; a shorter text is
     one n-gram, a text without words none."""
@@ -43,7 +51,7 @@ def ngrams(raw: bytes, n: int, hashes: WordHashes) -> np.ndarray:
     code = h[: len(h) - size + 1]
     for k in range(1, size):
         code = joined(code, h[k : len(h) - size + 1 + k])
-    return np.unique(code)
+    return distinct(code)
 
 
 def needed(size, percent: int):
@@ -51,6 +59,27 @@ def needed(size, percent: int):
     return -(-percent * size // 100)
 
 
+def bands(size: int, percent: int) -> list[tuple[int, int]]:
+    """(size band, how many of the rarest elements) under which a set is listed.
+
+    Sizes of linked sets differ by at most percent / 100, which is the width of
+    a band, so partners are in one band or in neighbouring ones. A set is listed
+    in its own band with what partners from the band below need, and in the next
+    band with what the larger partners there need: the larger they are, the
+    larger the overlap, and the fewer elements suffice.
+    """
+    if percent >= 100:
+        return [(size, 1)]
+    width = log(100 / percent) * (1 + 1e-9)
+    band = int(log(size) / width)
+    listed = [(band, size - needed(size, percent) + 1)]
+    partner = max(size, int(exp((band + 1) * width) * (1 - 1e-6)))
+    overlap = -(-percent * (size + partner) // (100 + percent))
+    if overlap <= size:
+        listed.append((band + 1, size - overlap + 1))
+    return listed
+
+
 def set_name(codes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(codes.tobytes())
 
@@ -71,7 +100,7 @@ def _unplaned(raw: bytes, kind) -> np.ndarray:
 
 def short_set(codes: np.ndarray) -> bytes:
     """A set for a bucket: the gaps between its shortened hashes."""
-    return _planes(np.diff(np.unique(codes & BUCKET_BITS), prepend=np.uint64(0)))
+    return _planes(np.diff(distinct(codes & BUCKET_BITS), prepend=np.uint64(0)))
 
 
 def long_set(raw: bytes) -> np.ndarray:
@@ -80,7 +109,7 @@ def long_set(raw: bytes) -> np.ndarray:
 
 def ordered(codes: np.ndarray, sketch: np.ndarray) -> np.ndarray:
     """A set in the global order: falling frequency by the sketch, then hash."""
-    return codes[np.lexsort((codes, -sketch[(codes & np.uint64(len(sketch) - 1)).astype(np.int64)]))]
+    return codes[np.lexsort((codes, 255 - sketch[(codes & np.uint64(len(sketch) - 1)).astype(np.int64)]))]
 
 
 class Trie:
@@ -185,8 +214,9 @@ def hits(own: np.ndarray, run: np.ndarray) -> int:
 def frequency_sketch(texts: DataFrame, n: int, sketch: int = SKETCH) -> np.ndarray:
     """How many texts hold an n-gram of each of ``sketch`` hash classes.
 
-    One array per task is added up by Spark in parts; the driver gets one array
-    of that size, whatever the table. It only orders the n-grams.
+    One array per task is added up by Spark in parts; the driver gets one byte
+    per class, a rising step of the count, whatever the table. The sketch only
+    orders the n-grams.
     """
     part = sketch // SKETCH_PARTS
 
@@ -203,13 +233,14 @@ def frequency_sketch(texts: DataFrame, n: int, sketch: int = SKETCH) -> np.ndarr
         for frame in frames:
             for key, raw in zip(frame["part"], frame["counts"]):
                 total += _unplaned(raw, np.int32)
-        yield pd.DataFrame({"part": [key], "counts": [_planes(np.minimum(total, 2**31 - 1).astype(np.int32))]})
+        level = np.minimum(np.rint(12 * np.log2(1.0 + total)), 255).astype(np.uint8)
+        yield pd.DataFrame({"part": [key], "counts": [packed(level)]})
 
     partial = texts.mapInPandas(counted, "part int, counts binary")
     rows = partial.groupBy("part").applyInPandas(added, "part int, counts binary").collect()
-    whole = np.zeros(sketch, np.int32)
+    whole = np.zeros(sketch, np.uint8)
     for r in rows:
-        whole[r["part"] * part : (r["part"] + 1) * part] = _unplaned(r["counts"], np.int32)
+        whole[r["part"] * part : (r["part"] + 1) * part] = unpacked(r["counts"], np.uint8)
     return whole
 
 
@@ -238,7 +269,7 @@ def jaccard_groups(
     order = spark.sparkContext.broadcast(frequency_sketch(rows.select("text"), n, sketch))
 
     def postings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """A row per document, and one (token, s) per last element of a set s."""
+        """A row per document, and one (token, s) per band and last element of a set s."""
         hashes, table = WordHashes(300_000), order.value
         for batch in batches:
             keys, made, last = [], [], {}
@@ -247,7 +278,10 @@ def jaccard_groups(
                 keys.append(None if key is None or key != key else int(key))
                 made.append((set_name(codes), set_number(codes), len(codes)))
                 if keys[-1] is not None and len(codes) and made[-1][1] not in last:
-                    last[made[-1][1]] = ordered(codes, table)[needed(len(codes), percent) - 1 :].view(np.int64)
+                    rising = ordered(codes, table)
+                    last[made[-1][1]] = np.concatenate(
+                        [joined(rising[len(rising) - k :], np.array([b], np.uint64)) for b, k in bands(len(codes), percent)]
+                    ).view(np.int64)
             yield pd.DataFrame(
                 {"doc_id": pd.array(keys, "Int64"), "set_id": [m[0] for m in made], "s": [m[1] for m in made], "n": [m[2] for m in made]}
             )
@@ -391,9 +425,9 @@ def _trie_join(buckets: DataFrame, percent: int, order) -> DataFrame:
         own = sorted(set(zip(ids, codes)))
         sets = [long_set(c) for _, c in own]
         # Ranks in the global order turn the sets into rising whole numbers.
-        distinct = ordered(np.unique(np.concatenate(sets)), table)
-        by_hash = np.argsort(distinct)
-        sorted_hashes = distinct[by_hash]
+        elements = ordered(distinct(np.concatenate(sets)), table)
+        by_hash = np.argsort(elements)
+        sorted_hashes = elements[by_hash]
         merge = Classes(len(own))
         linked_pairs([np.sort(by_hash[np.searchsorted(sorted_hashes, s)]) for s in sets], percent, merge)
         return [(own[i][0], own[m[0]][0]) for m in map(sorted, merge.members.values()) for i in m[1:]]
