@@ -163,8 +163,9 @@ from events join nation on user_id % 25 = n_nationkey
 
 # One listing per sample, with its heading.
 USAGE_TEXT = """
-select namespace, concat('NAME   CPU(cores)   MEMORY(bytes)\n', pod, '   ', cast(cpu_m as string), 'm   ',
-       cast(mem_mi as string), 'Mi\n') as text
+select namespace, concat('NAME   CPU(cores)   MEMORY(bytes)\n', pod, '   ', 
+       case when event_id % 17 = 0 then '<unknown>   <unknown>\n'
+            else concat(cast(cpu_m as string), 'm   ', cast(mem_mi as string), 'Mi\n') end) as text
 from usage
 """
 

@@ -20,12 +20,19 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 def strict_json(text: Column) -> Column:
     """Parse one JSON document; NULL when anything else surrounds it.
 
-    ``try_parse_json`` accepts trailing junk, so the text is parsed as the only
-    element of an array: junk, plain words and the empty string all fail that.
+    ``try_parse_json`` ignores what follows a document, so the text is parsed as
+    the first of two elements of an array whose second is a mark computed from
+    the text. A text that closes the array itself never reaches its own mark.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    elements = F.try_variant_get(wrapped, "$", "array<variant>")
-    return bound(elements, lambda e: F.when(F.size(e) == 1, F.try_element_at(e, F.lit(1))))
+
+    def parse(both: Column) -> Column:
+        wrapped = F.try_parse_json(F.concat(F.lit("["), both["text"], F.lit(","), both["mark"], F.lit("]")))
+        elements = F.try_variant_get(wrapped, "$", "array<variant>")
+        marked = lambda e: F.try_variant_get(F.try_element_at(e, F.lit(2)), "$", "string") == both["mark"]
+        return bound(elements, lambda e: F.when((F.size(e) == 2) & marked(e), F.try_element_at(e, F.lit(1))))
+
+    mark = F.xxhash64(text, F.lit("end")).cast("string")
+    return bound(F.struct(text.alias("text"), mark.alias("mark")), parse)
 
 
 def is_object(value: Column) -> Column:

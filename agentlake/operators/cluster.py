@@ -70,21 +70,43 @@ def list_services(services: DataFrame, namespace: str | None = "default") -> Dat
     )
 
 
+_AMOUNT = r"(?:[0-9.]+[A-Za-z]*|<unknown>)"
+_USAGE = rf"^\s*(\S+)(?:\s+(\S+))?\s+({_AMOUNT})\s+({_AMOUNT})\s*$"
+_HEADING = r"^\s*(POD|NAME|NAMESPACE)\b.*\bMEMORY\b"
+
+
+def _usage_lines(df: DataFrame, text: str, keys: Sequence[str]) -> DataFrame:
+    lines = df.select(*keys, F.explode(F.split(F.col(text), r"\r?\n")).alias("line"))
+    return lines.filter((F.trim("line") != "") & ~F.col("line").rlike(_HEADING))
+
+
 def parse_usage(df: DataFrame, text: str = "text", keys: Sequence[str] = ("namespace",)) -> DataFrame:
-    """Usage listings to ``keys, pod, cpu, memory`` with numeric quantities.
+    """Usage listings to ``keys, pod, container, cpu, memory`` with numeric quantities.
 
-    The heading and lines that do not hold three columns are left out.
+    ``container`` is NULL in a listing of whole pods, and an amount is NULL
+    where the listing says ``<unknown>``. ``usage_rejects`` returns the lines
+    that hold something else.
     """
-    lines = df.select(*keys, F.explode(F.split(F.col(text), r"\r?\n")).alias("_line"))
-    columns = r"^\s*(\S+)\s+([0-9.]+[A-Za-z]*)\s+([0-9.]+[A-Za-z]*)\s*$"
-    return lines.filter(F.col("_line").rlike(columns)).select(
+    lines = _usage_lines(df, text, keys).filter(F.col("line").rlike(_USAGE))
+
+    def amount(place: int) -> Column:
+        found = F.regexp_extract("line", _USAGE, place)
+        return F.when(found != "<unknown>", quantity(found))
+
+    return lines.select(
         *keys,
-        F.regexp_extract("_line", columns, 1).alias("pod"),
-        quantity(F.regexp_extract("_line", columns, 2)).alias("cpu"),
-        quantity(F.regexp_extract("_line", columns, 3)).alias("memory"),
+        F.regexp_extract("line", _USAGE, 1).alias("pod"),
+        F.nullif(F.regexp_extract("line", _USAGE, 2), F.lit("")).alias("container"),
+        amount(3).alias("cpu"),
+        amount(4).alias("memory"),
     )
 
 
+def usage_rejects(df: DataFrame, text: str = "text", keys: Sequence[str] = ("namespace",)) -> DataFrame:
+    """Lines of usage listings that ``parse_usage`` cannot read: ``keys, line``."""
+    return _usage_lines(df, text, keys).filter(~F.col("line").rlike(_USAGE))
+
+
 def namespace_usage(usage: DataFrame) -> DataFrame:
     """Usage per pod, per namespace (``pod`` NULL) and in total (both NULL)."""
     return usage.rollup("namespace", "pod").agg(

@@ -1,98 +1,41 @@
 """Ordered collection per key in pages of bounded size.
 
 Collecting everything a key owns into one value breaks as soon as one key holds
-a large share of the table. Here a key's rows, ordered by a whole number
-``seq``, are split into pages: page 0 holds all rows of any ordinary key, and
-only a key with more than ``page_rows`` rows gets further pages. No row is
-dropped; the pages of a key, read in order, are the whole result.
+a large share of the table. Here the rows of every key have exact positions in
+their order, and page p holds positions p * page_rows + 1 to (p + 1) *
+page_rows. No row is dropped; the pages of a key, read in order, are the whole
+result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agentlake.session import written
+from agentlake.operators.joins import key_of, same, skew_join  # noqa: F401
+from agentlake.operators.positions import with_positions
 
 PAGE_ROWS = 10_000
 
 
-def block_of(seq: str | Column, rows: int) -> Column:
-    """Start of the block of ``rows`` consecutive numbers that ``seq`` is in."""
-    seq = F.col(seq) if isinstance(seq, str) else seq
-    return seq - F.pmod(seq, F.lit(rows))
-
-
-def same(left: DataFrame, right: DataFrame, pairs: dict[str, str]) -> Column:
-    """Null-safe equality of ``left`` columns and their ``right`` partners."""
-    return reduce(
-        lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs.items()]
-    )
-
-
-def skew_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
-) -> DataFrame:
-    """Join on equal (also NULL) keys in a form AQE can split when ``left`` has
-    a hot key.
-
-    AQE splits a partition only where both sides are shuffled directly below
-    the join. A right side aggregated by the same keys would keep the
-    aggregate's partitioning and miss that shuffle; null-safe equality gives
-    each side one of its own.
-    """
-    renamed = {k: f"_right_{k}" for k in keys}
-    other = right.select(
-        *[F.col(k).alias(n) for k, n in renamed.items()], *[c for c in right.columns if c not in renamed]
-    )
-    joined = left.join(other, same(left, other, renamed), how)
-    return joined if how in ("left_semi", "left_anti") else joined.drop(*renamed.values())
-
-
-def key_of(keys: Sequence[str]) -> Column:
-    """The key columns as one struct, which groups and joins NULL keys too.
-
-    Unlike null-safe equality it leaves the key one expression, so a join after
-    a window or an aggregate on it reuses their partitioning.
-    """
-    return F.struct(*[F.col(k) for k in keys])
-
-
 def with_pages(
-    df: DataFrame, keys: Sequence[str], seq: str, page_rows: int = PAGE_ROWS, page: str = "page"
+    df: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    page_rows: int = PAGE_ROWS,
+    page: str = "page",
+    then: Sequence[str] = (),
 ) -> DataFrame:
-    """Add ``page``: about ``page_rows``, at most twice as many rows share a key
-    and a page.
-
-    Rows of one key and one ``seq`` stay together, so ``seq`` is unique within
-    a key, or shared by a few rows only. Rows per key are counted first, with
-    partial counts and only the key columns read. When no key has more than
-    ``page_rows`` rows, which is the usual case, nothing else is done. Else the
-    blocks of those keys get a page each; that table's size is known, so it is
-    broadcast while it is small and joined on (key, block), which no single key
-    dominates, when it is not.
+    """Add ``page``, from 0: ``page_rows`` rows of a key, in ``seq`` order, share it.
+
+    ``then`` orders rows that share a ``seq``. Rows are placed by
+    ``with_positions``, so neither a hot key nor many rows of one ``seq`` meet
+    in one task.
     """
-    key, block = "_page_key", "_page_block"
-    counted = df.groupBy(key_of(keys).alias(key)).agg(F.count(F.lit(1)).alias("_rows"))
-    hot, _, any_hot = written(counted.filter(F.col("_rows") > page_rows).select(key), "hot-keys")
-    if not any_hot:
-        return df.withColumn(page, F.lit(0))
-    blocked = df.withColumns({key: key_of(keys), block: block_of(seq, page_rows)})
-    counts = (
-        blocked.select(key, block)
-        .join(hot, key, "left_semi")
-        .groupBy(key, block)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    earlier = Window.partitionBy(key).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
-    paged = counts.withColumn("_page", (block_of(before, page_rows) / page_rows).cast("int"))
-    starts, _, _ = written(paged.drop("_rows").filter("_page > 0"), "page-starts")
-    joined = blocked.join(starts, [key, block], "left")
-    return joined.select(*df.columns, F.coalesce("_page", F.lit(0)).alias(page))
+    placed = with_positions(df, keys, [seq, *then], "_position")
+    return placed.select(*df.columns, F.floor((F.col("_position") - 1) / page_rows).cast("int").alias(page))
 
 
 def _pages(
@@ -101,7 +44,7 @@ def _pages(
     order = {f"_order_{i}": F.col(c) for i, c in enumerate((seq, *then))}
     lean = df.select(*keys, *[c.alias(n) for n, c in order.items()], value.alias("_value"))
     rows = F.sort_array(F.collect_list(F.struct(*order, "_value")))
-    return with_pages(lean, keys, "_order_0", page_rows), rows.getField("_value")
+    return with_pages(lean, keys, "_order_0", page_rows, then=[*order][1:]), rows.getField("_value")
 
 
 def paged_text(

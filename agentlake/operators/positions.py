@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agentlake.operators.paging import key_of, skew_join
+from agentlake.operators.joins import key_of, skew_join
 from agentlake.session import written
 
 #: ``monotonically_increasing_id`` keeps the partition above these bits.
@@ -30,14 +30,14 @@ def with_positions(
     order then is fixed whatever is lost later.
     """
     by = [F.col(c) if isinstance(c, str) else c for c in order]
-    names = [f"_order_{i}" for i in range(len(by))]
-    lean = df.withColumns({"_tie": F.monotonically_increasing_id(), **dict(zip(names, by))})
-    sorting = [*[F.col(k) for k in keys], *[F.col(n) for n in names], F.col("_tie")]
+    names = [f"_position_order_{i}" for i in range(len(by))]
+    lean = df.withColumns({"_position_tie": F.monotonically_increasing_id(), **dict(zip(names, by))})
+    sorting = [*[F.col(k) for k in keys], *[F.col(n) for n in names], F.col("_position_tie")]
     ranged = (
         lean.repartitionByRange(*sorting)
         .sortWithinPartitions(*sorting)
         .withColumn("_row", F.monotonically_increasing_id())
-        .drop("_tie", *names)
+        .drop("_position_tie", *names)
     )
     rows, _, _ = written(ranged, "positions")
     part = F.shiftright("_row", _ROW_BITS)

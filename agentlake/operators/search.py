@@ -121,11 +121,13 @@ def _score(
             docs, shares = docs[by_key], shares[by_key]
             found = [best]
             for keys, weights in blocks or _query_blocks(index):
-                scores = np.round(shares @ weights, DECIMALS)
+                # A match is a hit however little its words weigh.
+                matched = shares @ weights
+                scores = np.where(matched > 0, np.round(matched, DECIMALS), -1.0)
                 keep = min(k, len(docs))
                 chosen = np.argsort(-scores, axis=0, kind="stable")[:keep]
                 values = np.take_along_axis(scores, chosen, axis=0)
-                hits = values > 0
+                hits = values >= 0
                 columns = np.broadcast_to(np.arange(len(keys)), chosen.shape)
                 found.append(
                     pd.DataFrame(

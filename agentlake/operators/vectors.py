@@ -83,6 +83,8 @@ def _best(
     for start in range(0, len(query_keys), CHUNK_ROWS):
         keys = query_keys[start : start + CHUNK_ROWS]
         scores = np.round(queries[start : start + CHUNK_ROWS] @ items.T, DECIMALS) + 0.0
+        # A score that is no number never wins, whatever k.
+        scores[~np.isfinite(scores)] = -np.inf
         if exclude_self:
             scores[keys[:, None] == item_keys[None, :]] = -np.inf
         if keep == 1:

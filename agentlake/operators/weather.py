@@ -59,13 +59,18 @@ def format_alerts(
 
 
 def period_text(period: Column) -> Column:
-    """Four lines of one forecast period; the labels are fixed values."""
+    """Four lines of one forecast period; the labels, and None for NULL, are
+    fixed values."""
+
+    def shown(name: str) -> Column:
+        return F.coalesce(period[name].cast("string"), F.lit("None"))
+
     return F.concat(
-        F.lit("\n"), period["name"], F.lit(":"),
-        F.lit("\nTemperature: "), period["temperature"].cast("string"),
-        F.lit("°"), period["temperatureUnit"],
-        F.lit("\nWind: "), period["windSpeed"], F.lit(" "), period["windDirection"],
-        F.lit("\nForecast: "), period["detailedForecast"],
+        F.lit("\n"), shown("name"), F.lit(":"),
+        F.lit("\nTemperature: "), shown("temperature"),
+        F.lit("°"), shown("temperatureUnit"),
+        F.lit("\nWind: "), shown("windSpeed"), F.lit(" "), shown("windDirection"),
+        F.lit("\nForecast: "), shown("detailedForecast"),
         F.lit("\n"),
     )
 

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from agentlake.operators.paging import PAGE_ROWS, block_of, key_of, paged_list, paged_text, skew_join
+from agentlake.operators.joins import key_of, skew_join
+from agentlake.operators.paging import PAGE_ROWS, paged_list, paged_text
+from agentlake.operators.positions import with_positions
 
 PLANNER_NODE = "planner"
 PLANNER_ARTIFACT = "PlannerAgent-result"
@@ -65,7 +67,7 @@ def session_islands(
 
     State is cleared when the context differs from the previous message's, and
     after a completed workflow. The scan runs in two levels: inside blocks of
-    ``block_rows`` sequence numbers, then over one summary row per block, so a
+    ``block_rows`` messages of a stream, then over one summary row per block, so a
     hot stream is spread over as many tasks as it has blocks.
     """
     inside = Window.partitionBy("_key", "_block").orderBy(seq)
@@ -74,7 +76,8 @@ def session_islands(
     state = F.struct(F.col(context).alias("context"), F.coalesce(completed, F.lit(False)).alias("done"))
     previous = F.lag("_state").over(inside)
     steps = (
-        messages.withColumns({"_key": key_of([stream]), "_block": block_of(seq, block_rows), "_state": state})
+        with_positions(messages, [stream], [seq], "_place")
+        .withColumns({"_key": key_of([stream]), "_block": F.floor((F.col("_place") - 1) / block_rows), "_state": state})
         .withColumn("_break", _clears(previous, F.col("_state")))
         .withColumn("_within", F.sum("_break").over(inside))
     )

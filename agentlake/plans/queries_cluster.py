@@ -86,7 +86,8 @@ def markdown_pods(f: Fixtures) -> DataFrame:
                     concat('{{"pod_name":"', pod_name, '","status":"', status, '","cpu_request":"', cpu_request,
                            '","memory_request":"', memory_request, '"}}'), ','
                     order by cast(substr(pod_name, 5) as bigint)), ']}}') end as envelope
-    from range(0, 30) t(k) left join pods on namespace = concat('NATION_', cast(k as string))
+    from (select n_nationkey as k from nation union all select n_nationkey + 1000 from nation where n_nationkey < 5) t
+    left join pods on namespace = concat('NATION_', cast(k as string))
     group by k""",
     ("pod_containers",),
 )
@@ -94,12 +95,16 @@ def to_envelope(f: Fixtures) -> DataFrame:
     pods = cluster.list_pods(f.pods, None).withColumn("seq", F.substring("pod_name", 5, 20).cast("long"))
     columns = ("pod_name", "status", "cpu_request", "memory_request")
     envelopes = sinks.to_envelope(pods, ["namespace"], "seq", columns, "pods")
-    asked = f.spark.range(30).select(F.concat(F.lit("NATION_"), F.col("id").cast("string")).alias("namespace"))
+    nation = f.tables["nation"].select(F.col("n_nationkey").cast("long").alias("id"))
+    absent = nation.filter("id < 5").select((F.col("id") + 1000).alias("id"))
+    asked = nation.unionByName(absent).select(F.concat(F.lit("NATION_"), F.col("id").cast("string")).alias("namespace"))
     return sinks.envelopes_for(asked, envelopes, "namespace", "pods")
 
 
 @query(
-    """select namespace, pod, round(cast(cpu_m as double) / 1000, 6) as cpu, cast(mem_mi as double) * 1048576 as memory
+    """select namespace, pod, cast(null as varchar) as container,
+              case when event_id % 17 <> 0 then round(cast(cpu_m as double) / 1000, 6) end as cpu,
+              case when event_id % 17 <> 0 then cast(mem_mi as double) * 1048576 end as memory
     from usage""",
     ("usage",),
 )
@@ -108,7 +113,8 @@ def parse_usage(f: Fixtures) -> DataFrame:
 
 
 @query(
-    """select namespace, pod, round(cast(sum(cpu_m) as double) / 1000, 6) as cpu, cast(sum(mem_mi) as double) * 1048576 as memory,
+    """select namespace, pod, round(cast(sum(case when event_id % 17 <> 0 then cpu_m end) as double) / 1000, 6) as cpu,
+    cast(sum(case when event_id % 17 <> 0 then mem_mi end) as double) * 1048576 as memory,
     count(*) as samples, cast(grouping(namespace, pod) as int) as level
     from usage group by rollup (namespace, pod)""",
     ("usage",),
@@ -175,12 +181,14 @@ _EVENT_LINE = """concat('- Type: ', coalesce(type, 'Unknown'), ', Reason: ', coa
 
 
 @query(
-    f"""select namespace, pod, 0 as page, string_agg({_EVENT_LINE}, chr(10) order by seq) as events_text
-    from pod_events group by namespace, pod""",
+    f"""select namespace, pod, page, string_agg({_EVENT_LINE}, chr(10) order by seq) as events_text
+    from (select *, cast((row_number() over (partition by namespace, pod order by seq) - 1) // 7 as int) as page
+          from pod_events)
+    group by namespace, pod, page""",
     ("pod_events",),
 )
 def format_events(f: Fixtures) -> DataFrame:
-    return cluster.format_events(f.pod_events)
+    return cluster.format_events(f.pod_events, page_rows=7)
 
 
 @query(

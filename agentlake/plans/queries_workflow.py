@@ -57,12 +57,14 @@ def session_islands(f: Fixtures) -> DataFrame:
 
 @query(
     f"""with {_ISLANDS}
-    select stream_id, island, 0 as page, string_agg(query, '; ' order by seq) as history
-    from numbered group by stream_id, island""",
+    select stream_id, island, page, string_agg(query, '; ' order by seq) as history
+    from (select *, cast((row_number() over (partition by stream_id, island order by seq) - 1) // 5 as int) as page
+          from numbered)
+    group by stream_id, island, page""",
     ("messages",),
 )
 def session_history(f: Fixtures) -> DataFrame:
-    pages = workflow.session_history(workflow.session_islands(f.messages))
+    pages = workflow.session_history(workflow.session_islands(f.messages), page_rows=5)
     return pages.withColumn("history", F.array_join("history", "; "))
 
 

@@ -13,14 +13,19 @@ def skewed(spark, hot=1000, cold=20):
     return numbers.unionByName(nulls).unionByName(few)
 
 
-def test_pages_are_bounded_and_whole(spark):
+def test_pages_are_exact_for_every_key(spark):
     paged = with_pages(skewed(spark), ["k"], "seq", page_rows=50)
     sizes = {(r.k, r.page): r["count"] for r in paged.groupBy("k", "page").count().collect()}
-    assert max(sizes.values()) <= 100
-    assert sum(n for (k, _), n in sizes.items() if k == "hot") == 1000
-    assert sum(n for (k, _), n in sizes.items() if k is None) == 1000
+    assert {p for k, p in sizes if k == "hot"} == set(range(20))
+    assert {p for k, p in sizes if k is None} == set(range(20))
+    assert all(n == 50 for (k, _), n in sizes.items() if k in ("hot", None))
     assert all(page == 0 for k, page in sizes if k and k.startswith("c"))
-    assert len([1 for k, _ in sizes if k == "hot"]) > 5
+
+
+def test_rows_of_one_number_are_spread(spark):
+    df = spark.range(700).select(F.lit("k").alias("k"), F.lit(5).alias("seq"), "id")
+    sizes = [r["count"] for r in with_pages(df, ["k"], "seq", page_rows=100).groupBy("page").count().collect()]
+    assert sorted(sizes) == [100] * 7
 
 
 def test_pages_keep_the_order(spark):
@@ -42,7 +47,7 @@ def test_negative_and_sparse_numbers(spark):
     pages = paged_list(df, ["k"], "seq", F.col("seq"), "all", page_rows=100)
     collected = sorted(pages.collect(), key=lambda r: r.page)
     assert [n for p in collected for n in p["all"]] == [i * 1_000_003 for i in range(-500, 500)]
-    assert max(len(p["all"]) for p in collected) <= 200
+    assert [len(p["all"]) for p in collected] == [100] * 10
 
 
 def test_message_parts_of_a_hot_message(spark):
