@@ -391,7 +391,7 @@ def _bucket_links(rows: DataFrame, members: DataFrame, n: int, percent: int, ord
     marked, _, _ = written(
         skew_join(big, heads, ["leader"]).withColumn("near", near("codes", "head")).drop("head"), "marked"
     )
-    starred = marked.filter("near").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    starred = marked.filter("near").select(F.col("doc_id").alias("a"), F.col("first").alias("b")).filter("a <> b")
     counts = marked.groupBy("leader").agg(F.count_if(~F.col("near")).alias("far"), F.count(F.lit(1)).alias("all"))
     cut = skew_join(marked, counts, ["leader"]).withColumns(
         {

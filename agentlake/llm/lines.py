@@ -181,5 +181,7 @@ def dedup_lines(
         F.coalesce(F.array_size("_gone"), F.lit(0)).cast("long").alias("n_dropped"),
         kept.alias("kept"),
     )
+    # In a step of its own: inside a lambda, a column's new name would hide ``_text``.
+    done = both.select("_row", result.alias("_result"))
     columns = [F.col("_row")[c].alias(c) for c in docs.columns if c != out]
-    return both.select(*columns, result.alias(out))
+    return done.select(*columns, F.col("_result").alias(out))

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from agentlake.llm.text import ascii_lower
+from agentlake.llm.text import ascii_lower, row_of
 
 #: Longest context in characters, and labelled URLs of each side that are fitted.
 ORDER = 5
@@ -164,7 +164,8 @@ def filter_urls(
 
         score = scored(F.coalesce(F.col(url), F.lit("")))
         said = F.when(F.col("_score") >= model["cut"], F.lit("allow")).otherwise(F.lit("block"))
-    ready = pages.withColumns({"_host": host, "_path": path, "_rule": pattern, "_said": verdict, "_score": score})
+    named = {"_host": host, "_path": path, "_rule": pattern, "_said": verdict, "_score": score}
+    ready = pages.select(row_of(pages).alias("_row"), *[value.alias(name) for name, value in named.items()])
     result = F.struct(
         F.col("_host").alias("host"),
         F.col("_path").alias("path"),
@@ -172,4 +173,5 @@ def filter_urls(
         F.col("_score").alias("score"),
         F.coalesce("_said", said).alias("verdict"),
     )
-    return ready.select(*[F.col(f"`{c}`") for c in pages.columns if c != out], result.alias(out))
+    columns = [F.col("_row")[c].alias(c) for c in pages.columns if c != out]
+    return ready.select("_row", result.alias("_result")).select(*columns, F.col("_result").alias(out))
