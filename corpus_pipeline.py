@@ -12,22 +12,23 @@ from pyspark.sql import functions as F
 
 from agentlake.llm import buckets, jaccard, lines, mixing, quality
 from agentlake.llm.queries import settings
+from agentlake.llm.text import row_of
 from agentlake.session import written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and lie near a language's histograms."""
     settings(spark)
-    judged = quality.judge_quality(docs, quality.references(docs), out="_quality")
-    return judged.filter("_quality.kept").select(*docs.columns)
+    judged = quality.judge_quality(docs, quality.references(docs), out="_stage_quality")
+    return judged.filter("_stage_quality.kept").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that an earlier document holds; every row stays."""
-    deduped = lines.dedup_lines(docs, out="_lines")
-    changed = {"text": F.when(F.col("text").isNotNull(), F.col("_lines.kept"))}
+    deduped = lines.dedup_lines(docs, out="_stage_lines")
+    changed = {"text": F.when(F.col("text").isNotNull(), F.col("_stage_lines.kept"))}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.char_length(F.col("_lines.kept")).cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.char_length(F.col("_stage_lines.kept")).cast(docs.schema["n_chars"].dataType)
     return deduped.withColumns(changed).select(*docs.columns)
 
 
@@ -46,16 +47,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         .agg(F.count(F.lit(1)).alias("_times"), F.max(F.col("n_shingles") > 0).alias("_worded")),
         "kept",
     )
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id"))
-    joined = docs.join(kept, same)
-    once = joined.filter("_times = 1").select(*docs.columns)
-    several = joined.filter("_times > 1")
-    return once.unionByName(several.select(*docs.columns).dropDuplicates(["doc_id", "text"]))
+    rows = docs.select(row_of(docs).alias("_row"), F.col("doc_id").cast("long").alias("_key"))
+    joined = rows.join(kept, F.col("_key").eqNullSafe(F.col("_id")))
+    once = joined.filter("_times = 1").select("_row.*")
+    several = joined.filter("_times > 1").select("_row.*")
+    return once.unionByName(several.dropDuplicates(["doc_id", "text"]))
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its source's rate takes it."""
-    return mixing.repeated(mixing.mix_sources(docs, out="_mix"), "_mix").select(*docs.columns)
+    return mixing.repeated(mixing.mix_sources(docs, out="_stage_mix"), "_stage_mix").select(*docs.columns)
 
 
 def length_buckets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
