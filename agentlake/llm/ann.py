@@ -173,10 +173,12 @@ def usable(vector: Column) -> Column:
 def build_index(
     items: DataFrame, key: str, vector: str, shard_rows: int = SHARD_ROWS, degree: int = DEGREE, beam: int = BUILD_BEAM, alpha: float = ALPHA
 ) -> DataFrame:
-    """A row per shard: (dim, shard, n, keys, vectors, edges, start), written.
+    """A row per shard: (dim, shard, n, keys, firsts, vectors, edges, start), written.
 
     Every usable row is in the graph of one shard, by a hash of its key and
-    vector. Vectors of different lengths are in different shards.
+    vector. Vectors of different lengths are in different shards. Equal vectors
+    are one point of a graph, with all their keys: ``firsts`` are the starts of
+    the points' keys, so copies neither crowd out edges nor hide one another.
     """
     rows = items.filter(usable(F.col(vector)) & F.col(key).isNotNull()).select(
         F.col(key).cast("long").alias("key"), F.col(vector).cast("array<double>").alias("vector")
@@ -186,15 +188,18 @@ def build_index(
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("key", kind="stable")
-        vectors = _matrix(frame["vector"].to_list())
+        vectors, point = np.unique(_matrix(frame["vector"].to_list()), axis=0, return_inverse=True)
+        order = np.argsort(point.ravel(), kind="stable")
+        firsts = np.searchsorted(point.ravel()[order], np.arange(len(vectors)))
         edges, start = build_graph(lifted(vectors), degree, beam, alpha)
-        keys = packed(frame["key"].to_numpy(np.int64))
-        row = (*frame[["dim", "shard"]].iloc[0].map(int), len(frame), keys, packed(vectors), packed(edges.astype(np.int32)), start)
-        return pd.DataFrame([row], columns=["dim", "shard", "n", "keys", "vectors", "edges", "start"])
+        keys = packed(frame["key"].to_numpy(np.int64)[order])
+        blobs = (keys, packed(firsts.astype(np.int32)), packed(vectors), packed(edges.astype(np.int32)))
+        row = (*frame[["dim", "shard"]].iloc[0].map(int), len(frame), *blobs, start)
+        return pd.DataFrame([row], columns=["dim", "shard", "n", "keys", "firsts", "vectors", "edges", "start"])
 
     index = (
         sharded.groupBy("dim", "shard").applyInPandas(
-            build, "dim int, shard int, n long, keys binary, vectors binary, edges binary, start long"
+            build, "dim int, shard int, n long, keys binary, firsts binary, vectors binary, edges binary, start long"
         )
     )
     return written(index, "graph-shards")[0]
@@ -227,11 +232,15 @@ def search(
         if not len(left) or not len(right):
             return pd.DataFrame(columns=names).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
         shard = left.iloc[0]
-        n, dim = int(shard["n"]), int(shard["dim"])
         keys = unpacked(shard["keys"], np.int64)
-        vectors = unpacked(shard["vectors"], np.float64).reshape(n, dim)
+        firsts = unpacked(shard["firsts"], np.int32).astype(np.int64)
+        n = len(firsts)
+        vectors = unpacked(shard["vectors"], np.float64).reshape(n, int(shard["dim"]))
         edges = unpacked(shard["edges"], np.int32).astype(np.int64).reshape(n, -1)
         points = lifted(vectors)
+        # A point's least keys that can be needed, should some be the query's own.
+        needed = k + int(np.unique(keys, return_counts=True)[1].max())
+        offered = np.minimum(np.diff(np.append(firsts, len(keys))), needed)
         out = []
         ids = right["query_id"].to_numpy()
         wide = min(max(beam, k + 1), n)
@@ -241,12 +250,13 @@ def search(
             to = np.column_stack([exact / length, np.zeros(len(own))]).astype(np.float32)
             found, _ = beam_search(points, edges, int(shard["start"]), to, wide)
             score = np.matmul(vectors[np.maximum(found, 0)], exact[:, :, None])[:, :, 0]
-            other = np.where(found >= 0, keys[np.maximum(found, 0)], -1)
-            score[(found < 0) | ((other == own[:, None]) & exclude_self)] = -np.inf
-            order = np.lexsort((other, -score), axis=1)[:, :k]
-            score, other = np.take_along_axis(score, order, 1), np.take_along_axis(other, order, 1)
-            good = np.isfinite(score)
-            out.append(pd.DataFrame({"query_id": np.repeat(own, order.shape[1])[good.ravel()], "vec_id": other[good], "score": score[good]}))
+            times = np.where(found >= 0, offered[np.maximum(found, 0)], 0).ravel()
+            nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            other = keys[np.repeat(firsts[np.maximum(found, 0)].ravel(), times) + nth]
+            hits = pd.DataFrame({"query_id": np.repeat(np.repeat(own, wide), times), "vec_id": other, "score": np.repeat(score.ravel(), times)})
+            hits = hits[np.isfinite(hits["score"]) & ~((hits["vec_id"] == hits["query_id"]) & exclude_self)]
+            nearest_first = hits.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+            out.append(nearest_first.groupby("query_id", sort=False).head(k))
         return pd.concat(out)
 
     found = (

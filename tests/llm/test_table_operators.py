@@ -128,6 +128,27 @@ def test_neighbours_recall(spark):
     assert hits >= 0.9 * total
 
 
+def test_neighbours_among_copies(spark):
+    """A third of all rows are one vector; ties go to the smaller keys."""
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(1500, 8))
+    vectors[rng.permutation(1500)[:500]] = vectors[0]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    index = ann.build_index(df, "vec_id", "embedding", shard_rows=600)
+    got = defaultdict(list)
+    for r in ann.search(index, df.filter("vec_id % 20 = 0"), "vec_id", "embedding").orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    hits = 0
+    for q in range(0, 1500, 20):
+        score = np.round(vectors @ vectors[q], 9)
+        score[q] = -np.inf
+        best = np.lexsort((np.arange(1500), -score))[:20]
+        hits += len(set(got[q]) & set(best.tolist()))
+        if (vectors[q] == vectors[0]).all():
+            assert got[q] == best.tolist()
+    assert hits >= 0.95 * 20 * len(got)
+
+
 def test_neighbours_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (20, [0.5, 0.5]), (1, [1.0, 0.0]), (2, [3.0, 0.0]), (3, [-1.0, 0.0]), (4, None), (5, [0.0, 0.0]),
