@@ -23,10 +23,12 @@ from agentlake.llm.text import WordHashes, as_bytes, joined, packed, unpacked, w
 from agentlake.operators.paging import skew_join
 from agentlake.session import written
 
-#: Counters of the sketch of n-gram frequencies, and elements of one trie task.
+#: Counters of the sketch of n-gram frequencies, and elements of one trie task;
+#: a set counts as SET_COST elements more.
 SKETCH = 1 << 25
 SKETCH_PARTS = 64
-TASK_ELEMENTS = 2_000_000
+TASK_ELEMENTS = 500_000
+SET_COST = 64
 #: Bits of the filter that keeps texts without a bucket out of the shuffle, and
 #: of an n-gram's hash inside a bucket.
 FILTER_BITS = 1 << 24
@@ -114,32 +116,43 @@ def ordered(codes: np.ndarray, sketch: np.ndarray) -> np.ndarray:
 
 class Trie:
     """Compressed trie over ordered sets: the sets sorted, so that a branch is a
-    range of them, and the lengths that neighbours share."""
+    range of them. Nodes are rows of arrays, children of a node side by side."""
 
     def __init__(self, sets: list[np.ndarray]):
         self.order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u4").tobytes())
-        self.sets = [sets[i] for i in self.order]
-        self.shared = [0] * len(sets)
-        for i in range(1, len(sets)):
-            a, b = self.sets[i - 1], self.sets[i]
-            k = min(len(a), len(b))
-            off = np.flatnonzero(a[:k] != b[:k])
-            self.shared[i] = int(off[0]) if len(off) else k
-        self.nodes: dict[tuple[int, int], tuple[int, list[tuple[int, int]]]] = {}
-
-    def node(self, low: int, high: int) -> tuple[int, list[tuple[int, int]]]:
-        """(depth to which the sets of a range agree, the ranges below)."""
-        got = self.nodes.get((low, high))
-        if got is None:
+        own = [sets[i] for i in self.order]
+        self.sets = own
+        shared = np.zeros(len(own), np.int64)
+        for i in range(1, len(own)):
+            k = min(len(own[i - 1]), len(own[i]))
+            off = np.flatnonzero(own[i - 1][:k] != own[i][:k])
+            shared[i] = off[0] if len(off) else k
+        # (first set, end, depth of the parent, depth to which its sets agree,
+        # first child, number of children)
+        nodes, ranges = [], [(0, len(own), 0)]
+        for low, high, above in ranges:
             if high - low == 1:
-                got = (len(self.sets[low]), [])
-            else:
-                inner = np.array(self.shared[low + 1 : high])
-                depth = int(inner.min())
-                cuts = [low, *(np.flatnonzero(inner == depth) + low + 1).tolist(), high]
-                got = (depth, list(zip(cuts[:-1], cuts[1:])))
-            self.nodes[low, high] = got
-        return got
+                nodes.append((low, high, above, len(own[low]), 0, 0))
+                continue
+            inner = shared[low + 1 : high]
+            depth = int(inner.min())
+            cuts = [low, *(np.flatnonzero(inner == depth) + low + 1).tolist(), high]
+            nodes.append((low, high, above, depth, len(ranges), len(cuts) - 1))
+            ranges += [(x, y, depth) for x, y in zip(cuts[:-1], cuts[1:])]
+        self.low, self.high, self.above, self.depth, self.child, self.children = np.array(nodes, np.int64).T
+        runs = [own[n[0]][n[2] : n[3]] for n in nodes]
+        self.run = np.concatenate(runs)
+        self.start = np.cumsum([0, *(len(r) for r in runs)])[:-1]
+        self.last = np.array([own[n[0]][n[3] - 1] if n[3] else -1 for n in nodes], np.int64)
+        sizes = np.array([len(s) for s in own])
+        self.least = np.array([sizes[n[0] : n[1]].min() for n in nodes])
+        self.most = np.array([sizes[n[0] : n[1]].max() for n in nodes])
+
+
+def spans(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The whole numbers of all ranges, one range after the other."""
+    end = np.cumsum(length)
+    return np.repeat(start - end + length, length) + np.arange(end[-1] if len(end) else 0)
 
 
 class Classes:
@@ -149,10 +162,6 @@ class Classes:
         self.label = np.arange(n)
         self.members = {i: [i] for i in range(n)}
 
-    def one_class(self, several: np.ndarray, one: int) -> bool:
-        labels = self.label[several]
-        return bool((labels == self.label[one]).all())
-
     def join(self, a: int, b: int) -> None:
         a, b = int(self.label[a]), int(self.label[b])
         if a == b:
@@ -166,51 +175,57 @@ class Classes:
 def linked_pairs(ranks: list[np.ndarray], percent: int, merge: Classes) -> int:
     """Find a spanning set of links among ordered sets by their trie.
 
-    ``merge`` holds the classes found so far.
-    A branch whose sets all are in the walker's class is left, as its links
-    would join nothing. Returns the number of pairs compared to the end.
+    ``merge`` holds the classes found so far. A set walks the branches that hold
+    sets after it, all nodes of one level at once, each with the overlap of its
+    prefix. A branch is left when even its best size cannot reach the overlap
+    needed with what remains, or when its sets all are in the walker's class, as
+    their links would join nothing. Returns the number of pairs compared to the
+    end.
     """
     trie, compared = Trie(ranks), 0
     number = np.array(trie.order)
-    sizes = np.array([len(s) for s in trie.sets])
-    for at in range(len(trie.sets)):
-        own, me = trie.sets[at], int(number[at])
-        size = len(own)
+    held = np.zeros(1 + max(int(s[-1]) for s in trie.sets), bool)
+    label, changes = np.empty(0), np.empty(0)
+    stale = True
+    for at, own in enumerate(trie.sets):
+        if stale:
+            label = merge.label[number]
+            changes = np.concatenate([[0], np.cumsum(label[1:] != label[:-1])])
+            stale = False
+        me, size = int(number[at]), len(own)
         least, most = needed(size, percent), 100 * size // percent
-        stack = [(0, len(trie.sets), 0, 0)]
-        while stack:
-            low, high, depth, overlap = stack.pop()
-            if high - low == 1 and low == at:
-                continue
-            reach = trie.node(low, high)
-            run = trie.sets[low][depth : reach[0]]
-            if len(run):
-                overlap += hits(own, run)
-            below = sizes[low:high]
-            # What is left of a set, and what is left of mine above this depth.
-            mine = size - (np.searchsorted(own, trie.sets[low][reach[0] - 1], "right") if reach[0] else 0)
-            possible = overlap + np.minimum(below - reach[0], mine)
-            fits = (below >= least) & (below <= most) & (100 * possible >= percent * (size + below - possible))
-            if not fits.any() or merge.one_class(number[low:high], me):
-                continue
-            if high - low == 1 or not reach[1]:
-                compared += 1
-                if 100 * overlap >= percent * (size + len(trie.sets[low]) - overlap):
-                    merge.join(me, int(number[low]))
-                continue
-            # The branch that holds the walker itself comes first.
-            inside = [c for c in reach[1] if c[0] <= at < c[1]]
-            stack += [(a, b, reach[0], overlap) for a, b in reach[1] if not a <= at < b]
-            stack += [(a, b, reach[0], overlap) for a, b in inside]
+        held[own] = True
+        level, overlap = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        while len(level):
+            low, high = trie.low[level], trie.high[level]
+            alike = (changes[high - 1] == changes[low]) & (label[low] == label[at])
+            smallest, largest = np.maximum(trie.least[level], least), np.minimum(trie.most[level], most)
+            on = (high - 1 > at) & ~alike & (smallest <= largest)
+            level, overlap, smallest, largest = level[on], overlap[on], smallest[on], largest[on]
+            length = trie.depth[level] - trie.above[level]
+            hit = np.concatenate([[0], np.cumsum(held[trie.run[spans(trie.start[level], length)]])])
+            end = np.cumsum(length)
+            overlap = overlap + hit[end] - hit[end - length]
+            # What is left of mine beyond this prefix, and the size for which
+            # that is worth most.
+            mine = size - np.searchsorted(own, trie.last[level], "right")
+            best = np.clip(trie.depth[level] + mine, smallest, largest)
+            possible = overlap + np.minimum(best - trie.depth[level], mine)
+            on = 100 * possible >= percent * (size + best - possible)
+            level, overlap = level[on], overlap[on]
+            whole = trie.children[level] == 0
+            compared += int(whole.sum())
+            # For a whole set nothing remains, so the bound was the similarity.
+            for other in number[trie.low[level[whole]]].tolist():
+                merge.join(me, other)
+                stale = True
+            count = trie.children[level]
+            overlap = np.repeat(overlap, count)
+            level = spans(trie.child[level], count)
+        held[own] = False
     return compared
 
 
-def hits(own: np.ndarray, run: np.ndarray) -> int:
-    """Elements of ``run`` in ``own``, both in rising order of rank."""
-    at = np.searchsorted(own, run)
-    return int((own[np.minimum(at, len(own) - 1)] == run).sum())
-
-
 def frequency_sketch(texts: DataFrame, n: int, sketch: int = SKETCH) -> np.ndarray:
     """How many texts hold an n-gram of each of ``sketch`` hash classes.
 
@@ -336,7 +351,7 @@ def _bucket_links(rows: DataFrame, members: DataFrame, n: int, percent: int, ord
     # Buckets that fit a task are one group. Larger ones are cut into chunks;
     # members that link with the leader are one class, so only pairs of chunks
     # with a member that does not are compared.
-    chunks = F.ceil(F.sum("n") / F.lit(task_elements)).cast("int")
+    chunks = F.ceil(F.sum(F.col("n") + SET_COST) / F.lit(task_elements)).cast("int")
     sized, _, any_big = written(members.groupBy("leader").agg(chunks.alias("chunks")), "buckets", F.col("chunks") > 1)
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
     bits = members.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(
