@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agentlake.llm import ann, buckets, jaccard, language, lines, lm, mixing, quality, token_packs, urls
+from agentlake.llm import ann, buckets, hard_negatives, jaccard, language, lines, lm, mixing, quality, resync, spelling, token_packs, urls
 from agentlake.llm.text import LOWER, UPPER, crc_rest
 from agentlake.session import configure
 
 #: Vocabulary of a public tokenizer; any rank file will do.
 RANKS = "file:///opt/tokenizers/byte_bpe_50k.tiktoken"
 
+#: Name of a public sentence-piece model.
+PIECES = "piece_bpe_32k.model"
+
 #: The rules for hosts and paths.
 URL_RULES = (
     ("allow", "org/"),
@@ -196,3 +200,93 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     deduped = lines.dedup_lines(table(spark, folder, "documents"))
     sha = F.sha2(F.col("lines.kept").cast("binary"), 256).alias("kept_sha256")
     return deduped.select("doc_id", "lines.n_lines", "lines.n_dropped", sha)
+
+
+#: crc32 as its polynomial defines it, a byte at a time by a table of 256.
+SPELLINGS = f"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)
+), runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+         unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[a-z\\x{{00C0}}-\\x{{00FF}}]+')) AS run
+  FROM documents
+), distinct_runs AS (
+  SELECT id, run, count(*) AS c, hex(encode(id || ':' || run)) AS h FROM runs WHERE length(run) >= 6 GROUP BY id, run
+), coded AS (
+  SELECT run, c, xor(4294967295, list_reduce(
+           list_prepend(4294967295, list_transform(range(len(h) // 2), lambda i: CAST('0x' || h[2 * i + 1:2 * i + 2] AS BIGINT))),
+           lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS code
+  FROM distinct_runs, crc
+), formed AS (
+  SELECT CASE WHEN code % 199 = 0 THEN substr(run, 1, code % length(run)) || substr(run, code % length(run) + 2) ELSE run END AS word, c
+  FROM coded
+), words AS (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n FROM formed WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5
+), placed AS (
+  SELECT word, n, unnest(range(length(word))) AS spot FROM words
+), shorter AS (
+  SELECT word, n, spot, substr(word, 1, spot) || substr(word, spot + 2) AS rest FROM placed
+), near AS (
+  SELECT word, rest AS other FROM shorter WHERE rest IN (SELECT word FROM words)
+  UNION SELECT rest, word FROM shorter WHERE rest IN (SELECT word FROM words)
+  UNION SELECT a.word, b.word FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.spot = b.spot AND a.word <> b.word
+), counted AS (
+  SELECT a.word, a.other, w.n AS other_n, count(*) OVER (PARTITION BY a.word) AS n_near,
+         row_number() OVER (PARTITION BY a.word ORDER BY w.n DESC, a.other) AS place
+  FROM near a JOIN words w ON w.word = a.other
+), forms AS (
+  SELECT w.word, w.n, coalesce(c.n_near, 0) AS n_near,
+         CASE WHEN c.other_n >= 5 * w.n THEN c.other END AS form,
+         CASE WHEN c.other_n >= 5 * w.n THEN c.other_n END AS form_n
+  FROM words w LEFT JOIN counted c ON c.word = w.word AND c.place = 1
+), ways AS (
+  SELECT word, word AS root, 0 AS steps FROM forms
+  UNION ALL SELECT y.word, f.form, y.steps + 1 FROM ways y JOIN forms f ON f.word = y.root WHERE f.form IS NOT NULL
+), roots AS (
+  SELECT word, arg_max(root, steps) AS root FROM ways GROUP BY word
+)
+SELECT f.word, f.form, r.root, f.n, CAST(f.n_near AS BIGINT) AS n_near, f.form_n FROM forms f JOIN roots r USING (word)
+"""
+
+
+@query(SPELLINGS)
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, folder, "documents"))
+
+
+HARD = """
+WITH base AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM base a JOIN base b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+), positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+), hard AS (
+  SELECT p.anchor_id, p.other AS positive_id, n.other AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY n.score DESC, n.other) AS rank
+  FROM positives p JOIN scored n
+    ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM hard WHERE rank <= 5
+"""
+
+
+@query(HARD)
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    items = table(spark, folder, "embeddings").withColumn("label", label)
+    return hard_negatives.hard_negatives(items, F.col("vec_id") % 100 == 0)
+
+
+@query()
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    with open(public_tokenizers.path(PIECES), "rb") as file:
+        model = file.read()
+    return resync.count_tokens(table(spark, folder, "documents"), model)
