@@ -290,7 +290,7 @@ def jaccard_groups(
             keys, made, last = [], [], {}
             for key, raw in zip(batch["doc_id"], batch["text"]):
                 codes = ngrams(raw, n, hashes)
-                keys.append(None if key is None or key != key else int(key))
+                keys.append(None if key is None else int(key))
                 made.append((set_name(codes), set_number(codes), len(codes)))
                 if keys[-1] is not None and len(codes) and made[-1][1] not in last:
                     rising = ordered(codes, table)
@@ -310,7 +310,11 @@ def jaccard_groups(
                 frame["token"] = pd.array([None] * len(frame), "Int64")
             yield frame.astype({"doc_id": "Int64", "n": "Int64"})
 
-    made, _, _ = written(rows.mapInPandas(aligned, "doc_id long, set_id binary, s long, n long, token long"), "postings")
+    made, _, _ = written(
+        # Ids go in as text, as pandas would round the numbers of a column with a NULL.
+        rows.select(F.col("doc_id").cast("string"), "text").mapInPandas(aligned, "doc_id long, set_id binary, s long, n long, token long"),
+        "postings",
+    )
     listed = made.filter("set_id IS NOT NULL").select("doc_id", "set_id", "s", "n")
     posted = made.filter("token IS NOT NULL").select("token", "s")
 

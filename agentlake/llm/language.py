@@ -18,15 +18,21 @@ from pyspark.sql import functions as F
 
 from agentlake.llm.text import SPACES, as_bytes, ascii_lower
 
-#: Bounds of the fitted model: labelled documents per language, languages,
-#: known words and n-grams of each length per language.
+#: Bounds of the fitted model: labelled documents per language, and known words
+#: and n-grams of each length per language.
 FIT_DOCS = 4_000
-LANGUAGES = 200
 WORDS = 20_000
 GRAMS = 5_000
 LENGTHS = (5, 4, 3, 2, 1)
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+#: Parts in which the pieces of a language are ranked before they meet.
+SALTS = 32
+_WORDLIKE = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether a character is of Unicode category L; numerals are none."""
+    return any(m.group().isalpha() for m in _WORDLIKE.finditer(text))
 
 
 def fit(
@@ -35,26 +41,25 @@ def fit(
     text: str = "text",
     lang: str = "lang",
     docs_per_language: int = FIT_DOCS,
-    languages: int = LANGUAGES,
+    words: int = WORDS,
+    grams: int = GRAMS,
 ) -> dict:
     """A model of bounded size from labelled rows.
 
     At most about ``docs_per_language`` rows of each language are read, chosen
-    by a hash of their key, and the ``languages`` most frequent labels are
-    learned. Counting is done by Spark; what reaches the driver is the most
-    frequent words and n-grams of each language.
+    by a hash of their key; every label is learned. Counting is done by Spark;
+    what reaches the driver is the ``words`` most frequent words and the
+    ``grams`` most frequent n-grams of each length of each language.
     """
     rows = labelled.filter(F.col(lang).isNotNull()).select(
         F.col(key).alias("key"), F.col(lang).alias("lang"), F.col(text).alias("text")
     )
-    found = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
+    found = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
     names = sorted(r["lang"] for r in found)
     share = {r["lang"]: r["n"] for r in found}
     if not names:
         return {"names": [], "prior": np.zeros(0), "tables": {}, "floor": {}}
-    rate = F.lit(None).cast("double")
-    for name in names:
-        rate = F.when(F.col("lang") == name, F.lit(docs_per_language / share[name])).otherwise(rate)
+    rate = F.create_map(*[F.lit(x) for name in names for x in (name, docs_per_language / share[name])])[F.col("lang")]
     chosen = rows.filter(F.pmod(F.xxhash64("key", F.lit("fit")), F.lit(1 << 20)) < rate * (1 << 20))
     tokens = chosen.select("lang", F.explode(F.split(ascii_lower(F.coalesce("text", F.lit(""))), f"[{SPACES}]+")).alias("word"))
     counted = tokens.filter("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
@@ -77,9 +82,13 @@ def fit(
         ),
     ]
     table = pieces[0].unionByName(pieces[1]).groupBy("lang", "size", "piece").agg(F.sum("n").alias("n"))
-    best = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "piece")
-    most = F.when(F.col("size") == 0, WORDS).otherwise(GRAMS)
-    top = table.withColumn("_r", F.row_number().over(best)).filter((F.col("_r") <= WORDS) & (F.col("_r") <= most))
+    # First the best of each part of a language's pieces, then the best of those.
+    salted = table.withColumn("salt", F.pmod(F.xxhash64("piece"), F.lit(SALTS)))
+    most = F.when(F.col("size") == 0, words).otherwise(grams)
+    top = salted
+    for part in (["lang", "size", "salt"], ["lang", "size"]):
+        best = Window.partitionBy(*part).orderBy(F.desc("n"), "piece")
+        top = top.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= most).drop("_r")
     at = {name: i for i, name in enumerate(names)}
     counts: dict[int, dict[str, np.ndarray]] = {k: {} for k in (0, *LENGTHS)}
     for r in top.select("lang", "size", "piece", "n").toLocalIterator():
@@ -125,7 +134,7 @@ class Scorer:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         names = self.model["names"]
-        if not text or not names or not _LETTER.search(text):
+        if not text or not names or not has_letter(text):
             return UNKNOWN, 0.0
         counts = Counter(text.encode().lower().split())
         rows, times, total = [], [], self.model["prior"].copy()

@@ -37,7 +37,7 @@ SHARD_ENTRIES = 2_000_000
 END = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 _BLOCK = (
-    "block long, doc_ids array<long>, held array<boolean>, sizes array<int>, tokens binary, vocabulary binary, counts binary, "
+    "block long, doc_ids array<string>, held array<boolean>, sizes array<int>, tokens binary, vocabulary binary, counts binary, "
     "n_distinct long, n_train long"
 )
 
@@ -63,7 +63,7 @@ def _blocks(batches: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame
             if total and total + len(own) > most:
                 yield made()
                 keys, held, codes, total, number = [], [], [], 0, number + 1
-            keys.append(None if key is None or key != key else int(key))
+            keys.append(key)
             held.append(bool(test))
             codes.append(own)
             total += len(own)
@@ -174,15 +174,19 @@ def _gram_answers(frame: pd.DataFrame, shards: int, discount: float, more: bool)
     kept = total > 0
     pair_context, pair_word = own_context[pairs[kept] // max(len(own_word), 1)], own_word[pairs[kept] % max(len(own_word), 1)]
     size_of = all_sizes[np.searchsorted(all_contexts, pair_context)]
-    del contexts, followers, counts, pairs, at
+    asked_context, asked_word = own_context[pairs // max(len(own_word), 1)], own_word[pairs % max(len(own_word), 1)]
+    del contexts, followers, counts, pairs
     level = Level(_mapped(build_level(pair_context, pair_word, total[kept], size_of, discount)))
     given = np.bincount(
         np.searchsorted(all_contexts, pair_context), weights=np.maximum(total[kept] - discount, 0), minlength=len(all_contexts)
     )
     total = total[kept].astype(np.int64)
-    out = []
-    for own, _, children, asked, _ in lists:
-        place = level.find(np.repeat(own, children), asked)
+    # The level is searched once, for all that any block asks; ``at`` hands it out.
+    places = level.find(asked_context, asked_word)
+    out, start = [], 0
+    for own, _, _, asked, _ in lists:
+        place = places[at[start : start + len(asked)]]
+        start += len(asked)
         codes = np.where(place >= 0, level.codes[np.maximum(place, 0)].astype(np.int64) + 1, 0) if len(total) else np.zeros(len(asked))
         # In fixed point, so that parts of a hot context add up exactly.
         share = np.rint(given[np.searchsorted(all_contexts, own)] * 4).astype(np.uint64)
@@ -339,14 +343,15 @@ def score_documents(
     """
     spark = docs.sparkSession
     rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"),
+        # Text, as pandas would round the numbers of a column with a NULL.
+        F.col(doc_id).cast("long").cast("string").alias("doc_id"),
         (crc_rest(F.col(doc_id), parts) == held).alias("held"),
         as_bytes(F.col(text)).alias("text"),
     )
     blocks, _, some = written(rows.mapInPandas(lambda it: _blocks(it, block_tokens), _BLOCK), "blocks")
     if not some:
         return rows.select(
-            "doc_id", F.col("held").alias("held_out"), F.lit(0).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("n_known"),
+            F.col("doc_id").cast("long"), F.col("held").alias("held_out"), F.lit(0).cast("long").alias("n_tokens"), F.lit(0).cast("long").alias("n_known"),
             F.lit(0).cast("long").alias("train_tokens"), F.lit(0.0).alias("base_score"), F.lit(0.0).alias("score"),
         )
     sums = blocks.agg(F.sum("n_train").alias("train"), F.sum("n_distinct").alias("asked"), F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x)).alias("tokens")).first()
@@ -367,7 +372,7 @@ def score_documents(
 
     asks = blocks.select("block", "vocabulary", "counts").mapInPandas(word_asks, "block long, shard int, ask binary")
     replies = (
-        asks.repartition(word_shards, "shard")
+        asks.repartitionById(word_shards, F.col("shard"))
         .sortWithinPartitions("shard")
         .mapInPandas(word_replies, "block long, shard int, answer binary, known long")
     )
@@ -391,7 +396,7 @@ def score_documents(
 
         grams = sources[-1].mapInPandas(gram_asks, "block long, shard int, ask binary")
         got = (
-            grams.repartition(gram_shards, "shard")
+            grams.repartitionById(gram_shards, F.col("shard"))
             .sortWithinPartitions("shard")
             .mapInPandas(gram_replies, "block long, shard int, answer binary, floor double, step double")
         )
@@ -408,7 +413,7 @@ def score_documents(
             score = np.bincount(doc, weights=np.log10(end["p"]), minlength=len(row["sizes"]))
             yield pd.DataFrame(
                 {
-                    "doc_id": pd.array([None if k is None or k != k else int(k) for k in row["doc_ids"]], "Int64"),
+                    "doc_id": pd.array([None if k is None else int(k) for k in row["doc_ids"]], "Int64"),
                     "held_out": np.array(row["held"], bool),
                     "n_tokens": np.array(row["sizes"], np.int64),
                     "n_known": end["known"].astype(np.int64),

@@ -254,7 +254,7 @@ def pack_tokens(
                 ids = np.append(own, np.uint16(end))
                 for a in range(0, len(ids), length):
                     pieces.append(ids[a : a + length].astype("<u2"))
-                    owner.append(None if key is None or key != key else int(key))
+                    owner.append(None if key is None else int(key))
                     offset.append(a)
                 held += len(ids)
                 if held >= block_ids:
@@ -263,7 +263,8 @@ def pack_tokens(
         yield from flushed()
 
     names = [c.split()[0] for c in SCHEMA.split(", ")]
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), as_bytes(F.col(text)).alias("text"))
+    # Ids travel as text, as pandas would round the numbers of a column with a NULL.
+    rows = docs.select(F.col(doc_id).cast("long").cast("string").alias("doc_id"), as_bytes(F.col(text)).alias("text"))
     return rows.mapInPandas(packs, SCHEMA)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import random
 import re
 from collections import defaultdict
 
@@ -295,3 +296,25 @@ def test_stages_keep_columns_and_take_nothing(spark, odd_docs, no_docs):
         got = stage(spark, odd_docs, SMALL)
         assert got.columns == odd_docs.columns and got.count() >= 0
     assert corpus_pipeline.STAGES[-1][1](spark, odd_docs, SMALL).count() == odd_docs.count()
+
+
+def test_ids_beside_null_ids_stay_whole(spark):
+    rng = random.Random(6)
+    keys = [2**53 + 1, None, 2**53 + 3, 2**63 - 1, 2**53 + 5, None]
+    rows = [(k, " ".join(f"w{rng.randint(0, 500)}" for _ in range(80)), "en", "s", 1) for k in keys]
+    # A copy of the first, under an id that a double could not tell from it.
+    rows.append((2**53 + 2, rows[0][1], "en", "s", 1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    found, links = jaccard.jaccard_groups(docs)
+    groups = {r.doc_id: r.component_id for r in found.filter("doc_id IS NOT NULL").collect()}
+    assert groups == {k: (2**53 + 1 if k == 2**53 + 2 else k) for k, *_ in rows if k is not None}
+    whole = sorted(map(str, keys))
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        kept = stage(spark, docs, "")
+        got = sorted({str(r.doc_id) for r in kept.collect()})
+        expected = set(whole) if name == "near duplicates" else {str(r[0]) for r in rows}
+        assert got == sorted(expected) if name != "source mix" else set(got) <= expected
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()} == set(keys)
+    assert corpus_pipeline.near_duplicates(spark, docs, "").count() == 6
+    slots = corpus_pipeline.length_buckets(spark, docs, "")
+    assert sorted(str(r.doc_id) for r in slots.collect()) == sorted(str(r[0]) for r in rows)

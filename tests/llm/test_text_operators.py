@@ -6,6 +6,7 @@ import base64
 import math
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -147,6 +148,27 @@ def test_scores_of_nothing_and_of_held_out_rows_only(spark, no_docs):
     assert {(r.n_tokens, r.n_known, r.train_tokens) for r in lm.score_documents(only).collect()} == {(3, 0, 0), (1, 0, 0)}
 
 
+BIG = 2**53
+
+
+def big_rows() -> list[tuple]:
+    """Ids that no double holds, beside NULL ids."""
+    rng = random.Random(6)
+    keys = [BIG + 1, None, BIG + 3, 2**63 - 1, -(2**63) + 1, None, BIG + 5]
+    return [(k, " ".join(f"w{rng.randint(0, 500)}" for _ in range(80))) for k in keys]
+
+
+def test_ids_beside_null_ids_stay_whole(spark, ranks):
+    rows = big_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    keys = sorted((k for k, _ in rows), key=str)
+    packs = token_packs.pack_tokens(docs, ranks).collect()
+    assert sorted((k for p in packs for k in p.doc_ids), key=str) == keys
+    for order in (2, 3):
+        assert sorted((r.doc_id for r in lm.score_documents(docs, order=order).collect()), key=str) == keys
+    assert lm.score_documents(docs.filter("doc_id IS NULL")).filter("doc_id IS NULL").count() == 2
+
+
 def test_languages_of_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
@@ -166,6 +188,25 @@ def test_languages_of_odd_texts(spark, odd_docs, odd_rows, no_docs):
     assert {r.l.lang_pred for r in language.identify(odd_docs, nothing, out="l").select("l").collect()} == {"und"}
 
 
+def test_numerals_and_marks_are_no_letters(spark, odd_docs):
+    model = language.fit(odd_docs)
+    texts = ["10² ½", "Ⅷ", "①", "_", "٣", "x²", "½ é", "𝒳"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = {r.text: r.language for r in language.identify(docs, model).collect()}
+    for t in texts:
+        letters = any(unicodedata.category(c).startswith("L") for c in t)
+        assert (got[t].lang_pred != "und") == letters and (letters or got[t].score == 0)
+
+
+def test_every_label_can_be_predicted(spark):
+    rng = random.Random(3)
+    vocabulary = {f"l{i:03}": ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(6)] for i in range(250)}
+    rows = [(10 * i + k, " ".join(v), lang) for i, (lang, v) in enumerate(vocabulary.items()) for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.identify(docs, language.fit(docs)).select("lang", "language.lang_pred").collect()
+    assert all(r.lang == r.lang_pred for r in found)
+
+
 def test_unseen_words_fall_back_to_pieces():
     table = {5: {}, 4: {}, 3: {" ab": 0}, 2: {}, 1: {"z": 1}}
     model = {"names": ["x", "y"], "prior": np.zeros(2), "tables": {0: {}, **table}, "matrix": np.array([[-1.0, -5.0], [-9.0, -2.0]])}
