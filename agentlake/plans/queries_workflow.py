@@ -25,6 +25,20 @@ def plan_edges(f: Fixtures) -> DataFrame:
     return workflow.plan_edges(f.plans)
 
 
+@query(
+    """select o_orderkey as plan_id, cast(i as int) as level,
+           case when i = 0 then 'planner' else cast(i as string) end as node
+    from orders join range(0, 4) t(i) on i <= o_orderkey % 3 + 1"""
+)
+def plan_order(f: Fixtures) -> DataFrame:
+    """Every plan's nodes in order; all plans are one graph of many chains."""
+    edges = workflow.plan_edges(f.plans)
+    name = lambda end: F.struct("plan_id", F.col(end).alias("node"))
+    chained = edges.select(name("src").alias("src"), name("dst").alias("dst"))
+    ends = chained.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    return graph.topo_order(ends, chained).select("id.plan_id", "level", "id.node")
+
+
 _CUT = """ends as (select task_id, min(seq) as ending from task_items
                  where is_task_complete or require_user_input group by task_id),
     kept as (

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -173,3 +175,64 @@ def test_run_stops_at_the_first_pause(spark, rows):
 def test_runnable_keeps_the_order(spark):
     order = spark.createDataFrame([(1, 1, 0), (2, 2, 2), (3, 3, 1)], "id long, seq long, level int")
     assert [r.id for r in graph.runnable(order, order.filter(F.col("id") > 1).select("id")).collect()] == [3, 2]
+
+
+def rounds_of(monkeypatch, prefix):
+    """Counts the tables of a graph loop that start with ``prefix`` and a number."""
+    names, original = [], graph.written
+
+    def counted(df, name, *rest):
+        names.append(name)
+        return original(df, name, *rest)
+
+    monkeypatch.setattr(graph, "written", counted)
+    return lambda: sum(n.removeprefix(prefix).isdigit() for n in names)
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    n = 2_000
+    chain = spark.range(n).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    nodes = spark.range(n + 1).select("id", F.col("id").alias("seq"))
+    count = rounds_of(monkeypatch, "order")
+    levels = {r.id: r.level for r in graph.topo_order(nodes, chain).collect()}
+    assert levels == {i: i for i in range(n + 1)} and count() <= 30
+    count = rounds_of(monkeypatch, "reach")
+    starts = spark.createDataFrame([(700,)], "id long")
+    found = sorted(r.id for r in graph.descendants(chain, starts).collect())
+    assert found == list(range(700, n + 1)) and count() <= 30
+
+
+@pytest.mark.parametrize("seed,plain", [(1, 0), (2, 0), (3, 2), (4, 5)])
+def test_random_graphs(spark, seed, plain):
+    """Text ids, several edges in, detours of different lengths, and circles."""
+    rng = random.Random(seed)
+    n = 60
+    pairs = {(a, rng.randint(a + 1, min(n - 1, a + 4))) for a in range(n - 1) for _ in range(rng.choice([0, 1, 1, 2]))}
+    name = "n{:02}".format
+    edges = spark.createDataFrame([(name(a), name(b)) for a, b in pairs], "src string, dst string")
+    longest = {}
+    for v in range(n):
+        longest[v] = max((longest[a] + 1 for a, b in pairs if b == v), default=0)
+    nodes = spark.createDataFrame([(name(i), i) for i in range(n)], "id string, seq long")
+    assert {r.id: r.level for r in graph.topo_order(nodes, edges, plain).collect()} == {name(v): d for v, d in longest.items()}
+    back = pairs | {(rng.randint(20, n - 1), rng.randint(0, 40)) for _ in range(6)}
+    looped = spark.createDataFrame([(name(a), name(b)) for a, b in back], "src string, dst string")
+    wanted = rng.sample(range(n), 2)
+    reach, todo = set(wanted), list(wanted)
+    while todo:
+        u = todo.pop()
+        new = {b for a, b in back if a == u} - reach
+        reach |= new
+        todo += new
+    starts = spark.createDataFrame([(name(i),) for i in wanted], "id string")
+    assert sorted(r.id for r in graph.descendants(looped, starts, plain).collect()) == sorted(map(name, reach))
+
+
+def test_circles_are_refused_however_long(spark):
+    ring = [(i, (i + 1) % 9 + 10 * (i // 10)) for i in range(9)]
+    for pairs in (ring, [(50, 0), *ring], [*ring, (3, 60), (60, 61)], [(1, 1)]):
+        ids = {i for pair in pairs for i in pair}
+        with pytest.raises(graph.CycleError):
+            graph.topo_order(nodes_of(spark, sorted(ids)), edges_of(spark, pairs), plain_rounds=0)
+    found = graph.descendants(edges_of(spark, [*ring, (70, 71)]), spark.createDataFrame([(70,)], "id long"), 0)
+    assert sorted(r.id for r in found.collect()) == [70, 71]
