@@ -15,12 +15,19 @@ from pyspark.sql import functions as F
 from agentlake.operators.joins import key_of, skew_join
 from agentlake.session import written
 
+#: Rows of a key that one task sorts. Where no key has more, a window numbers
+#: them; the positions are the same.
+WINDOW_ROWS = 100_000
 #: ``monotonically_increasing_id`` keeps the partition above these bits.
 _ROW_BITS = 33
 
 
 def with_positions(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], position: str = "pos"
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    position: str = "pos",
+    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """Add ``position`` (from 1): the rank of the row among the rows of its key.
 
@@ -30,6 +37,10 @@ def with_positions(
     order then is fixed whatever is lost later.
     """
     by = [F.col(c) if isinstance(c, str) else c for c in order]
+    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    if keys and (largest or 0) <= window_rows:
+        inside = Window.partitionBy(*keys).orderBy(*by, F.monotonically_increasing_id())
+        return df.withColumn(position, F.row_number().over(inside).cast("long"))
     names = [f"_position_order_{i}" for i in range(len(by))]
     lean = df.withColumns({"_position_tie": F.monotonically_increasing_id(), **dict(zip(names, by))})
     sorting = [*[F.col(k) for k in keys], *[F.col(n) for n in names], F.col("_position_tie")]

@@ -258,7 +258,7 @@ def stream_task_status(f: Fixtures) -> DataFrame:
     rows = events.select(
         F.col("user_id").alias("task_id"), F.col("event_id").alias("seq"), kind.alias("kind"), context.alias("context_id")
     )
-    return run_available(status_stream(rows), "task-status")
+    return status_stream(rows)
 
 
 @query(f"with {_CUT} select * from kept", ("task_items",))
@@ -270,7 +270,7 @@ def stream_truncate(f: Fixtures) -> DataFrame:
         (F.col("event_id") % 29 == 0).alias("is_task_complete"),
         (F.col("event_id") % 23 == 0).alias("require_user_input"),
     )
-    return run_available(truncate_stream(rows), "task-items")
+    return truncate_stream(rows)
 
 
 # A deploy nobody answers is settled once the watermark passes its timeout.

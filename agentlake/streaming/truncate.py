@@ -2,62 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import Any
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from pyspark.sql import DataFrame, Row
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from agentlake.operators.joins import key_of, skew_join
+from agentlake.operators.workflow import truncate_at_terminal
+from agentlake.streaming.folded import run_folded
 
-ITEM_SCHEMA = "task_id long, seq long, content string, outcome string"
 
-
-def _outcome(row: Row) -> str:
-    if row["is_task_complete"]:
-        return "complete"
-    return "input_required" if row["require_user_input"] else "working"
-
-
-class _UntilTerminal(StatefulProcessor):
-    def __init__(self, ttl_ms: int | None) -> None:
-        self._ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._closed = handle.getValueState("closed", "closed boolean", self._ttl_ms)
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        if self._closed.exists():
-            return
-        # Rows come in no order: drop those after the earliest end seen so far,
-        # so little is held for a task that ends in this batch.
-        end, kept = None, []
-        for row in rows:
-            if end is not None and row["seq"] > end:
-                continue
-            outcome = _outcome(row)
-            kept.append((row["seq"], row["content"], outcome))
-            if outcome != "working":
-                end = row["seq"]
-        for seq, content, outcome in kept:
-            if end is None or seq <= end:
-                yield Row(task_id=key[0], seq=seq, content=content, outcome=outcome)
-        if end is not None:
-            self._closed.update((True,))
-
-    def close(self) -> None:
-        pass
-
-
-def stream_truncate(items: DataFrame, ttl_ms: int | None = None) -> DataFrame:
+def stream_truncate(items: DataFrame, path: str | None = None, ttl_ms: int | None = None) -> DataFrame:
     """Pass items until a task's first terminal one, then drop the rest.
 
     ``items`` is a stream of ``task_id, seq, content, is_task_complete,
-    require_user_input``. ``ttl_ms`` forgets a closed task after that time;
-    items that arrive later would open it again.
+    require_user_input``; ids and numbers are of any type that has an order. All
+    that is available is processed. A task's end in a batch is a minimum, and a
+    closed task one row, so a hot task is never held. ``path`` keeps rows and
+    closed tasks, so that a later run goes on from them. ``ttl_ms`` forgets a
+    closed task after that time; items that arrive later open it again.
     """
-    lean = items.select("task_id", "seq", "content", "is_task_complete", "require_user_input")
-    return lean.groupBy("task_id").transformWithState(
-        statefulProcessor=_UntilTerminal(ttl_ms),
-        outputStructType=ITEM_SCHEMA,
-        outputMode="Append",
-        timeMode="ProcessingTime" if ttl_ms else "None",
-    )
+    kinds = items.schema
+    rows = T.StructType([kinds["task_id"], kinds["seq"], kinds["content"], T.StructField("outcome", T.StringType())])
+    states = T.StructType([kinds["task_id"], T.StructField("closed_at", T.TimestampType())])
+
+    def fold(batch: DataFrame, closed: DataFrame) -> DataFrame:
+        if ttl_ms is not None:
+            closed = closed.filter(F.unix_millis(F.current_timestamp()) - F.unix_millis("closed_at") < ttl_ms)
+        lean = batch.select("task_id", "seq", "content", "is_task_complete", "require_user_input")
+        return truncate_at_terminal(skew_join(lean, closed.select("task_id"), ["task_id"], "left_anti"))
+
+    def settle(passed: DataFrame, _: DataFrame) -> DataFrame:
+        ended = passed.filter("outcome <> 'working'").groupBy(key_of(["task_id"]).alias("_key")).agg(F.current_timestamp().alias("closed_at"))
+        return ended.select("_key.task_id", "closed_at")
+
+    return run_folded(items, "task-items", "task_id", fold, settle, rows, states, path)

@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import os
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from agentlake.operators import waits, workflow
+from agentlake.streaming import folded, status
 from agentlake.streaming.crashloop import stream_crashloop
 from agentlake.streaming.run import run_available
 from agentlake.streaming.status import next_state, stream_task_status
 from agentlake.streaming.truncate import stream_truncate
 
 
-def as_stream(spark, tmp_path, batches, schema):
+def as_stream(spark, tmp_path, batches, schema, number=0):
     """One file per batch, read one file at a time."""
     folder = tmp_path / "in"
-    for i, batch in enumerate(batches):
+    for i, batch in enumerate(batches, number):
         spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(str(folder))
         # Files are taken by modification time.
         newest = max(folder.glob("part-*"), key=lambda p: p.stat().st_mtime_ns)
@@ -32,7 +35,7 @@ def test_status_is_resumable(spark, tmp_path):
         [(1, 4, "working", "c"), (2, 2, "input_required", None), (2, 3, "completed", "c")],
         [(1, 5, "message", "c"), (1, 6, "completed", None), (1, 7, "working", "c"), (2, 4, "working", "c")],
     ]
-    found = run_available(stream_task_status(as_stream(spark, tmp_path, batches, schema)), "s").collect()
+    found = stream_task_status(as_stream(spark, tmp_path, batches, schema)).collect()
     assert sorted((r.task_id, r.seq, r.state, r.emitted) for r in found) == [
         (1, 1, "RUNNING", True), (1, 2, "RUNNING", True), (1, 3, "PAUSED", True), (1, 4, "PAUSED", False),
         (1, 5, "RUNNING", True), (1, 6, "COMPLETED", True), (1, 7, "COMPLETED", False),
@@ -45,23 +48,68 @@ def test_truncation_equals_batch(spark, tmp_path):
     schema = "task_id long, seq long, content string, is_task_complete boolean, require_user_input boolean"
     data = [(t, s, f"{t}.{s}", (t * s) % 7 == 6, (t + s) % 11 == 10) for s in range(12) for t in range(6)]
     batches = [data[:20], data[20:50], data[50:]]
-    found = run_available(stream_truncate(as_stream(spark, tmp_path, batches, schema)), "t")
+    found = stream_truncate(as_stream(spark, tmp_path, batches, schema))
     batch = workflow.truncate_at_terminal(spark.createDataFrame(data, schema))
     columns = ("task_id", "seq", "content", "outcome")
     assert sorted(map(tuple, found.select(*columns).collect())) == sorted(map(tuple, batch.select(*columns).collect()))
 
 
-def test_truncation_with_ttl_runs(spark, tmp_path):
-    schema = "task_id long, seq long, content string, is_task_complete boolean, require_user_input boolean"
-    batches = [[(1, 1, "a", True, False), (1, 2, "b", False, False)], [(1, 3, "c", False, False)]]
-    # State with a lifetime asks for empty batches for ever; a run over what is
-    # available must end.
-    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
-    try:
-        found = run_available(stream_truncate(as_stream(spark, tmp_path, batches, schema), ttl_ms=3_600_000), "ttl")
-    finally:
-        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+def test_truncation_forgets_closed_tasks(spark, tmp_path):
+    schema = "task_id string, seq long, content string, is_task_complete boolean, require_user_input boolean"
+    batches = [[("x", 1, "a", True, False), ("x", 2, "b", False, False)], [("x", 3, "c", False, False)]]
+    found = stream_truncate(as_stream(spark, tmp_path, batches, schema), ttl_ms=3_600_000)
     assert [r.seq for r in found.collect()] == [1]
+    found = stream_truncate(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), ttl_ms=0)
+    assert sorted(r.seq for r in found.collect()) == [1, 3]
+
+
+def plain_status(events):
+    states, out = {}, []
+    for task, seq, kind, context in sorted(events, key=lambda e: e[1]):
+        states[task], emitted = next_state(states.get(task, "READY"), kind, bool(context))
+        out.append((task, seq, states[task], emitted))
+    return out
+
+
+def in_order(rows):
+    return sorted(map(tuple, rows), key=lambda r: r[1])
+
+
+def random_events(rng, n):
+    """Text ids and a NULL one; one task owns a third of all events."""
+    kinds = ["working"] * 4 + ["input_required", "completed", "message", None]
+    tasks = ["hot"] * 5 + ["a-1", "a-2", "b", "c", "d", "e", "f", "g", None]
+    return [(rng.choice(tasks), i, rng.choice(kinds), rng.choice(["c", "", None])) for i in range(n)]
+
+
+@pytest.mark.parametrize("block_rows", [1, 3, 7, 100_000])
+def test_blocks_of_a_task_compose(spark, block_rows):
+    events = random_events(random.Random(block_rows), 400)
+    table = spark.createDataFrame(events, "task_id string, seq long, kind string, context_id string").repartition(5)
+    none = spark.createDataFrame([], "task_id string, state string")
+    assert in_order(status.fold_status(table, none, block_rows).collect()) == plain_status(events)
+    first = plain_status(events[:150])
+    left = spark.createDataFrame(list({task: state for task, _, state, _ in first}.items()), "task_id string, state string")
+    rest = status.fold_status(table.filter("seq >= 150"), left, block_rows).collect()
+    assert in_order(rest) == plain_status(events)[150:]
+
+
+def test_status_of_many_batches_and_runs(spark, tmp_path, monkeypatch):
+    """Whole states every third batch; a second run goes on from the first."""
+    monkeypatch.setattr(folded, "WHOLE_EVERY", 3)
+    schema = "task_id string, seq long, kind string, context_id string"
+    events, path = random_events(random.Random(5), 320), str(tmp_path / "kept")
+    batches = [events[i : i + 40] for i in range(0, 320, 40)]
+    found = stream_task_status(as_stream(spark, tmp_path, batches[:5], schema), path)
+    assert in_order(found.collect()) == plain_status(events[:200])
+    found = stream_task_status(as_stream(spark, tmp_path, batches[5:], schema, 5), path)
+    assert in_order(found.collect()) == plain_status(events)
+
+
+def test_no_python_worker_folds_status(spark):
+    table = spark.createDataFrame([("t", 1, "message", "c")], "task_id string, seq long, kind string, context_id string")
+    plan = status.fold_status(table, spark.createDataFrame([], "task_id string, state string"))._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
 
 
 def test_crashloop_equals_batch(spark, tmp_path):
