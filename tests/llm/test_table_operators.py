@@ -129,6 +129,47 @@ def test_neighbours_recall(spark):
     assert hits >= 0.9 * total
 
 
+def recall_of(spark, vectors: np.ndarray, shard_rows: int) -> float:
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>").repartition(4)
+    index = ann.build_index(df, "vec_id", "embedding", shard_rows=shard_rows)
+    asked = df.filter("vec_id % 100 = 0")
+    got = defaultdict(set)
+    for r in ann.search(index, asked, "vec_id", "embedding").collect():
+        got[r.query_id].add(r.vec_id)
+    hits = 0
+    for q in range(0, len(vectors), 100):
+        score = vectors @ vectors[q]
+        score[q] = -np.inf
+        hits += len(got[q] & set(np.argsort(-score, kind="stable")[:20].tolist()))
+    return hits / (20 * len(got))
+
+
+@pytest.mark.parametrize("kind", ["lognormal", "outlier", "normal"])
+def test_recall_whatever_the_lengths(spark, kind):
+    """At the registered shard size; the normal components have no structure at all."""
+    rng = np.random.default_rng(2)
+    if kind == "normal":
+        assert recall_of(spark, rng.normal(size=(6_000, 64)), ann.SHARD_ROWS) >= 0.9
+        return
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()
+    vectors = np.array([r.embedding for r in rows], float)
+    if kind == "outlier":
+        vectors[3] *= 1e6
+    else:
+        vectors *= rng.lognormal(size=(len(vectors), 1))
+    assert recall_of(spark, vectors, ann.SHARD_ROWS) >= 0.9
+
+
+def test_extreme_vectors(spark):
+    """Neither huge nor tiny finite components break anything; products that leave the range are infinite."""
+    rows = [(0, [1e200, 1.0]), (1, [1e200, 0.0]), (2, [1e-200, 0.0]), (20, [1e-200, 1e-200]), (3, [1.0, 1.0]), (4, [-1e200, 5e-324])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in ann.search(ann.build_index(df, "vec_id", "embedding"), df.filter("vec_id % 20 = 0"), "vec_id", "embedding").orderBy("rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert got == {0: [1, 3, 2, 20, 4], 20: [0, 1, 3, 2, 4]}
+
+
 def test_neighbours_among_copies(spark):
     """A third of all rows are one vector; ties go to the smaller keys."""
     rng = np.random.default_rng(3)
