@@ -226,9 +226,8 @@ def usable(vector: Column) -> Column:
 
 def _band(vector: Column) -> Column:
     """Number of the vector's length on a logarithmic scale; length 1 is inside a band."""
-    most = F.array_max(F.transform(vector, F.abs))
-    square = F.aggregate(vector, F.lit(0.0), lambda total, x: total + (x / most) * (x / most))
-    return F.floor((F.log2(most) + F.log2(square) / 2) / BAND + 0.5).cast("int")
+    length = F.aggregate(vector, F.lit(0.0), F.hypot)
+    return F.floor(F.log2(length) / BAND + 0.5).cast("int")
 
 
 _INDEX = "number int, dim int, n int, beam int, keys binary, firsts binary, vectors binary, edges binary, start long"
