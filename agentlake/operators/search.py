@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -12,19 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agentlake.functions.vectors import tokens
+from agentlake.operators.searchindex import DECIMALS, K1, SHARD_WORDS, B, add_documents, search_index
 from agentlake.operators.vectors import rank
-from agentlake.session import written
+from agentlake.session import scratch_path, written
 
-K1 = 1.2
-B = 0.75
-DECIMALS = 6
 #: Fixed value: most results one search returns.
 RESULTS = 10
 #: Most (query, token) pairs sent to every worker.
 BROADCAST_PAIRS = 1_000_000
-#: Size of one block of a blocked search, in tokens of text and of queries.
-BLOCK_TOKENS = 4_000_000
-BLOCK_PAIRS = 200_000
 #: Queries scored at a time.
 BLOCK_QUERIES = 1_000
 #: Documents scored at a time, and numbers in one dense block.
@@ -170,40 +164,6 @@ def _by_broadcast(words: DataFrame, asked: DataFrame, counts: DataFrame, k: int)
     return words.mapInPandas(score, _schema(words, asked))
 
 
-def _by_blocks(
-    words: DataFrame, asked: DataFrame, counts: DataFrame, k: int, query_blocks: int, block_tokens: int
-) -> DataFrame:
-    kept, _, _ = written(counts, "corpus-counts")
-    total = kept.filter(F.col("token") == _TOTAL).first()
-    docs, length = (total["df"], total["length"]) if total else (0, 0)
-    mean_len = (length or 0) / docs if docs else 0.0
-    doc_blocks = max(1, ceil((length or 0) / block_tokens))
-    idf = F.log1p((F.lit(float(docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-
-    def spread(key: str, blocks: int) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-
-    def every(blocks: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-
-    left = words.withColumn("db", spread("doc", doc_blocks)).withColumn("qb", every(query_blocks))
-    right = (
-        asked.join(kept.select("token", "df"), "token")
-        .select("query", "token", idf.alias("idf"))
-        .withColumn("qb", spread("query", query_blocks))
-        .withColumn("db", every(doc_blocks))
-    )
-
-    def score(texts: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
-        if texts.empty or pairs.empty or not mean_len:
-            return pd.DataFrame({"query": [], "doc": [], "score": []})
-        return _score(_index(pairs), iter([texts]), mean_len, k)
-
-    return (
-        left.groupBy("db", "qb").cogroup(right.groupBy("db", "qb")).applyInPandas(score, _schema(words, asked))
-    )
-
-
 def text_search(
     docs: DataFrame,
     queries: DataFrame,
@@ -212,7 +172,7 @@ def text_search(
     query_key: str = "query_id",
     fields: Sequence[str] = (),
     broadcast_pairs: int = BROADCAST_PAIRS,
-    block_tokens: int = BLOCK_TOKENS,
+    block_tokens: int = SHARD_WORDS,
 ) -> DataFrame:
     """Best ``k`` documents per query: ``query_key, rank, doc_key, score`` and ``fields``.
 
@@ -220,8 +180,9 @@ def text_search(
     and passes on ``k`` rows per query, so texts are not shuffled and a word
     common to many documents and queries never pairs them up as rows. Texts are
     split into tokens in the JVM. The query side is measured first; beyond
-    ``broadcast_pairs`` query tokens, blocks of documents meet blocks of queries
-    instead, each pair of blocks bounded in size.
+    ``broadcast_pairs`` query tokens the texts are indexed where they are read,
+    and blocks of queries meet the index's shards. Rows without a key then take
+    no part.
 
     Corpus counts are taken when this is called, in one pass over the texts.
     """
@@ -231,13 +192,14 @@ def text_search(
     )
     pairs = asked.count()
     small = pairs <= broadcast_pairs
-    counts = corpus_counts(words.select("words"), asked, small)
     if small:
-        scores = _by_broadcast(words, asked, counts, k)
+        counts = corpus_counts(words.select("words"), asked, small)
+        best = rank(_by_broadcast(words, asked, counts, k), ["query"], "score", "doc", k)
+        named = best.select(F.col("query").alias(query_key), "rank", F.col("doc").alias(doc_key), "score")
     else:
-        scores = _by_blocks(words, asked, counts, k, ceil(pairs / BLOCK_PAIRS), block_tokens)
-    best = rank(scores, ["query"], "score", "doc", k)
-    named = best.select(F.col("query").alias(query_key), "rank", F.col("doc").alias(doc_key), "score")
+        path = scratch_path(docs.sparkSession, "search-index")
+        add_documents(docs, path, 0, doc_key, "text", block_tokens)
+        named = search_index(docs.sparkSession, path, queries, k, doc_key, query_key)
     if not fields:
         return named
     results, _, _ = written(named, "search-results")

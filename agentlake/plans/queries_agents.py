@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from agentlake.fixtures import Fixtures
 from agentlake.functions.jsontext import strict_json
 from agentlake.functions.vectors import dot
-from agentlake.operators import lookup, search, vectors
+from agentlake.operators import lookup, search, searchindex, vectors
 from agentlake.plans import agents
 from agentlake.plans.catalog import query
 from agentlake.session import scratch_path, written
@@ -160,8 +160,7 @@ def assign_agents(f: Fixtures) -> DataFrame:
     return agents.assign_agents(f.card_tasks, indexed)
 
 
-@query(
-    """with d as (select doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as words from documents),
+_SEARCH = """with d as (select doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as words from documents),
     q as (select distinct item_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) as token from benchmark),
     size as (select cast(count(*) as double) as docs, avg(len(words)) as mean_len from d),
     tf as (select doc_id, doc_len, token, count(*) as tf
@@ -176,6 +175,18 @@ def assign_agents(f: Fixtures) -> DataFrame:
     select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank,
            doc_id, score
     from scored qualify rank <= 10"""
-)
+
+
+@query(_SEARCH)
 def text_search(f: Fixtures) -> DataFrame:
     return search.text_search(f.tables["documents"], f.tables["benchmark"], query_key="item_id")
+
+
+@query(_SEARCH)
+def indexed_search(f: Fixtures) -> DataFrame:
+    """The same rows from a stored index of two segments."""
+    docs, path = f.tables["documents"], scratch_path(f.spark, "documents-index")
+    odd = F.coalesce(F.col("doc_id") % 2 == 1, F.lit(False))
+    searchindex.add_documents(docs.filter(~odd), path, 0)
+    searchindex.add_documents(docs.filter(odd), path, 1)
+    return searchindex.search_index(f.spark, path, f.tables["benchmark"], query_key="item_id")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter
 
@@ -9,7 +10,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from agentlake.functions.vectors import dot
-from agentlake.operators import search, vectors
+from agentlake.operators import search, searchindex, vectors
 from agentlake.plans import agents
 
 
@@ -125,3 +126,60 @@ def test_search_field_mask_and_no_documents(spark):
     assert search.text_search(docs, queries, fields=["name"]).columns == ["query_id", "rank", "doc_id", "score", "name"]
     assert search.text_search(docs.filter("false"), queries).count() == 0
     assert search.text_search(docs, queries.filter("query_id = 12")).count() == 0
+
+
+def random_texts(rng, n, first=0):
+    """Words of very unequal frequency; empty and NULL texts among them."""
+    vocabulary = [f"w{i}" for i in range(60)]
+    weights = [1 / (i + 1) for i in range(60)]
+    return [
+        (first + i, rng.choice([None, ""]) if i % 17 == 5 else " ".join(rng.choices(vocabulary, weights, k=rng.randint(1, 30))))
+        for i in range(n)
+    ]
+
+
+def test_index_of_segments_equals_the_scan(spark, tmp_path):
+    """Shards and segments of few words; a segment written again replaces itself."""
+    rng = random.Random(4)
+    docs, later = random_texts(rng, 400, 2**53), random_texts(rng, 150, 2**53 + 400)
+    queries = [(q, " ".join(rng.choices([f"w{i}" for i in range(70)], k=rng.randint(1, 6)))) for q in range(12)]
+    path, schema = str(tmp_path / "index"), "doc_id long, text string"
+    asked = spark.createDataFrame(queries, "query_id long, text string")
+    for _ in range(2):
+        searchindex.add_documents(spark.createDataFrame(docs, schema).repartition(3), path, 0, shard_words=900)
+    for k in (1, 7):
+        assert sorted(map(tuple, searchindex.search_index(spark, path, asked, k).collect())) == bm25([(d, t or "") for d, t in docs], queries, k)
+    searchindex.add_documents(spark.createDataFrame(later, schema), path, 1, shard_words=900)
+    both = [(d, t or "") for d, t in docs + later]
+    assert sorted(map(tuple, searchindex.search_index(spark, path, asked, 10).collect())) == bm25(both, queries, 10)
+    plan = searchindex.search_index(spark, path, asked, 10)._jdf.queryExecution().toString()
+    assert "text" not in plan.split("Physical Plan")[-1]
+
+
+def test_blocks_below_the_best_are_not_visited():
+    rng = np.random.default_rng(1)
+    lengths = rng.integers(5, 60, 64 * 400)
+    shard = searchindex.Shard(np.arange(len(lengths)), lengths, float(lengths.mean()))
+    exact = np.zeros(len(lengths))
+    words, idf = ["a", "b"], np.array([0.4, 6.0])
+    for word, weight, share in zip(words, idf, (0.5, 0.002)):
+        docs = np.flatnonzero(rng.random(len(lengths)) < share)
+        counts = rng.integers(1, 4, len(docs))
+        block = docs // searchindex.BLOCK_DOCS
+        starts = np.flatnonzero(np.diff(block, prepend=-1))
+        lists = (docs, counts, block[starts], starts, np.maximum.reduceat(counts, starts), np.minimum.reduceat(lengths[docs], starts))
+        shard.add({"token": word, **dict(zip(searchindex._LISTS, lists))})
+        exact[docs] += weight * (counts * (search.K1 + 1) / (counts + shard.norm[docs]))
+    found, scores = shard.best(words, idf, 10)
+    exact = np.round(exact, 6)
+    best = np.lexsort((np.arange(len(exact)), -exact))[:10]
+    assert found.tolist() == best.tolist() and np.allclose(scores, exact[best])
+    assert shard.visited < shard.seen / 2
+
+
+def test_an_empty_index_has_no_hits(spark, tmp_path):
+    path, queries = str(tmp_path / "index"), spark.createDataFrame([("q", "a b")], "query_id string, text string")
+    searchindex.add_documents(spark.createDataFrame([(None, "a b")], "doc_id string, text string"), path, 0)
+    assert searchindex.search_index(spark, path, queries).collect() == []
+    searchindex.add_documents(spark.createDataFrame([("x", "a c"), ("y", None)], "doc_id string, text string"), path, 1)
+    assert [r.doc_id for r in searchindex.search_index(spark, path, queries).collect()] == ["x"]
