@@ -2,23 +2,32 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterator, Sequence
 from math import ceil
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agentlake.functions.vectors import token_bucket, tokens
+from agentlake.session import written
+
+_LOG = logging.getLogger(__name__)
 
 DIM = 256
 #: Largest item matrix sent to every worker.
 BROADCAST_BYTES = 64 * 1024 * 1024
-#: Rows of one block of a blocked product, and queries scored at a time.
+#: Rows of one group of items, and queries scored at a time.
 BLOCK_ROWS = 16_384
 CHUNK_ROWS = 1_024
+#: Centres at most, which every task holds, centres for as many items as a group
+#: takes, and queries of a task that meet a group, on average.
+MOST_GROUPS = 16_384
+CENTRES = 4
+SLICE_QUERIES = 65_536
 DECIMALS = 6
 
 
@@ -125,9 +134,9 @@ def top_match(
     Scores are rounded to six decimals before they are compared; ties go to the
     smaller item key. The item side is measured first. Up to
     ``broadcast_bytes`` it is sent to the workers once and the queries are
-    scored where they are, without a shuffle. Beyond that both sides are cut
-    into blocks of about ``block_rows`` and every pair of blocks is one
-    bounded matrix product. Only ``k`` rows per query and block leave a task.
+    scored where they are, without a shuffle. Beyond that items form groups of
+    about ``block_rows``, and a query meets only groups that may hold one of its
+    best. Only ``k`` rows per query and group leave a task.
     """
     asked = queries.select(F.col(query_key).alias("query"), F.col(query_vector).alias("qv"))
     offered = items.select(F.col(item_key).alias("item"), F.col(item_vector).alias("iv")).filter(
@@ -150,7 +159,7 @@ def top_match(
         scores = _by_broadcast(asked, offered, schema, k, exclude_self)
         ranked = rank(scores, ["query"], "score", "item", k) if k > 1 else scores.withColumn("rank", F.lit(1))
     else:
-        scores = _by_blocks(asked, offered, schema, k, exclude_self, measured["rows"], block_rows)
+        scores = _by_groups(asked, offered, schema, k, exclude_self, measured["rows"], block_rows)
         ranked = rank(scores, ["query"], "score", "item", k)
     return ranked.select(F.col("query").alias(query_key), "item", "score", "rank")
 
@@ -173,7 +182,7 @@ def _by_broadcast(
     return asked.mapInPandas(score, schema)
 
 
-def _by_blocks(
+def _by_groups(
     asked: DataFrame,
     offered: DataFrame,
     schema: T.StructType,
@@ -182,24 +191,129 @@ def _by_blocks(
     item_rows: int,
     block_rows: int,
 ) -> DataFrame:
-    item_blocks = max(1, ceil(item_rows / block_rows))
-    query_blocks = max(1, ceil(asked.count() / block_rows))
-
-    def spread(key: str, blocks: int) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-
-    def every(blocks: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    """Every query's best items, leaving out groups that cannot hold one.
 
-    left = asked.withColumn("qb", spread("query", query_blocks)).withColumn("ib", every(item_blocks))
-    right = offered.withColumn("ib", spread("item", item_blocks)).withColumn("qb", every(query_blocks))
-
-    def score(q: pd.DataFrame, i: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or i.empty:
-            return pd.DataFrame({"query": [], "item": [], "score": []})
-        i = i.sort_values("item")
-        return _best(
-            q["query"].to_numpy(), _matrix(q["qv"]), i["item"].to_numpy(), _matrix(i["iv"]), k, exclude_self
+    Items gather around centres, some of the items themselves; what gathers
+    around one is cut into groups of about ``block_rows``. No item x of a group
+    with mean c and radius r has a product above q.c + |q| r. Each query first
+    meets the group with the greatest such bound, and then those whose bound
+    reaches the k-th score found there.
+    """
+    spark = asked.sparkSession
+    block_rows = max(block_rows, ceil(item_rows / MOST_GROUPS))
+    finite = F.forall("iv", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    usable = offered.filter(finite)
+    # At most MOST_GROUPS vectors, whatever the table.
+    centres = [r["iv"] for r in usable.orderBy(F.xxhash64("item")).limit(min(MOST_GROUPS, ceil(CENTRES * item_rows / block_rows))).select("iv").collect()]
+    if not centres:
+        return spark.createDataFrame([], schema)
+    around = spark.sparkContext.broadcast(np.array(centres, float))
+    placed = T.StructType([T.StructField("group", T.LongType()), *usable.schema.fields])
+
+    def gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        centre = around.value
+        square = (centre * centre).sum(axis=1)
+        for batch in batches:
+            for start in range(0, len(batch), CHUNK_ROWS):
+                part = batch.iloc[start : start + CHUNK_ROWS]
+                nearest = (square - 2 * _matrix(part["iv"]) @ centre.T).argmin(axis=1)
+                yield part.assign(group=nearest)[placed.names]
+
+    rows, _, _ = written(usable.mapInPandas(gathered, placed), "gathered")
+    parts, _, _ = written(
+        rows.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).alias("parts")), "group-parts"
+    )
+    cell = (F.col("group") * (1 << 32) + F.pmod(F.xxhash64("item"), F.col("parts"))).alias("cell")
+    cut = rows.join(parts, "group").select(cell, "item", "iv").repartition("cell").sortWithinPartitions("cell", "item")
+    blob = T.StructType(
+        [
+            T.StructField("cell", T.LongType()), T.StructField("items", T.ArrayType(schema["item"].dataType)),
+            T.StructField("matrix", T.BinaryType()), T.StructField("centre", T.BinaryType()), T.StructField("radius", T.DoubleType()),
+        ]
+    )
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in _runs(batches, "cell"):
+            matrix = _matrix(part["iv"])
+            centre = matrix.mean(axis=0)
+            radius = float(np.sqrt(((matrix - centre) ** 2).sum(axis=1).max()))
+            row = (int(part["cell"].iloc[0]), part["item"].to_list(), matrix.tobytes(), centre.tobytes(), radius)
+            yield pd.DataFrame([row], columns=blob.names)
+
+    groups, _, _ = written(cut.mapInPandas(packed, blob), "vector-groups")
+    summary = groups.select("cell", "centre", "radius").orderBy("cell").collect()
+    shared = spark.sparkContext.broadcast(
+        (
+            np.array([r["cell"] for r in summary]),
+            np.stack([np.frombuffer(r["centre"]) for r in summary]),
+            np.array([r["radius"] for r in summary]),
         )
-
-    return left.groupBy("qb", "ib").cogroup(right.groupBy("qb", "ib")).applyInPandas(score, schema)
+    )
+    visit = T.StructType([T.StructField("cell", T.LongType()), *asked.schema.fields])
+
+    def visits(queries: DataFrame, first: bool) -> DataFrame:
+        """The groups that each query meets: the likeliest one, or the rest."""
+
+        def bounded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            cells, centre, radius = shared.value
+            for batch in batches:
+                for start in range(0, len(batch), CHUNK_ROWS):
+                    part = batch.iloc[start : start + CHUNK_ROWS]
+                    matrix = _matrix(part["qv"])
+                    length = np.sqrt((matrix * matrix).sum(axis=1, keepdims=True))
+                    with np.errstate(invalid="ignore", over="ignore"):
+                        bound = matrix @ centre.T + length * radius
+                    bound[~np.isfinite(bound)] = np.inf
+                    likeliest = bound.argmax(axis=1)
+                    if first:
+                        yield pd.DataFrame({"cell": cells[likeliest], "query": part["query"], "qv": part["qv"]})
+                        continue
+                    # Scores are rounded, and the bound itself is off by a few last digits.
+                    least = part["least"].fillna(-np.inf).to_numpy(float) - 10.0**-DECIMALS
+                    open_cells = bound + 1e-9 * np.abs(bound) >= least[:, None]
+                    open_cells[np.arange(len(part)), likeliest] = False
+                    at, chosen = np.nonzero(open_cells)
+                    yield pd.DataFrame({"cell": cells[chosen], "query": part["query"].to_numpy()[at], "qv": part["qv"].to_numpy()[at]})
+
+        return written(queries.mapInPandas(bounded, visit), "visits")[0]
+
+    def met(visiting: DataFrame) -> DataFrame:
+        slices = max(1, ceil(visiting.count() / len(summary) / SLICE_QUERIES))
+        every = F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice")
+        left = groups.select("cell", "items", "matrix", every, F.lit(0).alias("kind"))
+        # Queries travel in the column of the items; with NULLs beside them, pandas would round whole numbers.
+        own = F.pmod(F.xxhash64("query"), F.lit(slices)).cast("int").alias("slice")
+        right = visiting.select("cell", F.array("query").alias("items"), "qv", own, F.lit(1).alias("kind"))
+        both = left.unionByName(right, allowMissingColumns=True)
+        dealt = both.repartition("cell", "slice").sortWithinPartitions("cell", "slice", "kind")
+
+        def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            keys, matrix = np.empty(0), np.empty((0, 0))
+            for batch in batches:
+                for (_, _, kind), part in batch.groupby(["cell", "slice", "kind"], sort=True):
+                    if kind == 0:
+                        keys = np.asarray(part["items"].iloc[0])
+                        matrix = np.frombuffer(part["matrix"].iloc[0]).reshape(len(keys), -1)
+                    else:
+                        yield _best(np.concatenate(part["items"].to_list()), _matrix(part["qv"]), keys, matrix, k, exclude_self)
+
+        return dealt.mapInPandas(scored, schema)
+
+    near, _, _ = written(rank(met(visits(asked, True)), ["query"], "score", "item", k), "nearest-group")
+    full = near.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least")).filter(F.col("n") >= k)
+    rest = visits(asked.join(full.drop("n"), "query", "left"), False)
+    _LOG.info("%d further visits of %d groups", rest.count(), len(summary))
+    return near.select("query", "item", "score").unionByName(met(rest))
+
+
+def _runs(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
+    """Frames of equal ``key`` out of a stream sorted by it."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        for value, part in batch.groupby(key, sort=True):
+            if held and held[0][key].iloc[0] != value:
+                yield pd.concat(held)
+                held = []
+            held.append(part)
+    if held:
+        yield pd.concat(held)

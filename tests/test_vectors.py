@@ -183,3 +183,20 @@ def test_an_empty_index_has_no_hits(spark, tmp_path):
     assert searchindex.search_index(spark, path, queries).collect() == []
     searchindex.add_documents(spark.createDataFrame([("x", "a c"), ("y", None)], "doc_id string, text string"), path, 1)
     assert [r.doc_id for r in searchindex.search_index(spark, path, queries).collect()] == ["x"]
+
+
+def test_groups_that_cannot_win_are_left_out(spark, caplog):
+    """Clustered vectors: the rows of the direct way, and most groups unvisited."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 8)) * 4
+    data = np.round(centres[rng.integers(12, size=900)] + rng.normal(size=(900, 8)) * 0.2, 3)
+    rows = [(2**53 + i, v.tolist()) for i, v in enumerate(data)] + [(7, [float("nan")] * 8), (8, [float("inf")] + [0.0] * 7), (9, None)]
+    table = spark.createDataFrame(rows, "key long, embedding array<double>").repartition(4)
+    queries = table.filter("key % 9 = 0 OR key < 100")
+    for k, same in ((1, True), (5, False)):
+        with caplog.at_level("INFO", logger="agentlake.operators.vectors"):
+            far = vectors.top_match(queries, table, "key", "key", k=k, exclude_self=same, broadcast_bytes=0, block_rows=40)
+        near = vectors.top_match(queries, table, "key", "key", k=k, exclude_self=same)
+        assert sorted(map(tuple, far.collect())) == sorted(map(tuple, near.collect()))
+        further, of = map(int, re.search(r"(\d+) further visits of (\d+) groups", caplog.records[-1].getMessage()).groups())
+        assert of > 15 and further < 0.5 * of * queries.count()
