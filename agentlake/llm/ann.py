@@ -323,7 +323,8 @@ def search(
         return spark.createDataFrame([], schema)
     tasks = int(min(sizes.agg(F.sum(F.col("blocks") * F.col("shards"))).first()[0], MOST_TASKS))
     each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
-    left = index.join(sizes, "dim").select(*index.columns, "blocks", each, F.lit(0).alias("kind"))
+    # Shards carry a number for the query, as pandas would round ids beside NULLs.
+    left = index.join(sizes, "dim").select(*index.columns, "blocks", each, F.lit(0).alias("kind"), F.lit(0).cast("long").alias("query_id"))
     placed = asked.join(sizes, "dim").withColumn("block", F.pmod(F.xxhash64("query_id", "vector"), F.col("blocks")).cast("int"))
     right = placed.join(index.select("dim", "number"), "dim").select(
         "number", "dim", "blocks", "block", F.lit(1).alias("kind"), "query_id", "vector"

@@ -170,6 +170,13 @@ def test_extreme_vectors(spark):
     assert got == {0: [1, 3, 2, 20, 4], 20: [0, 1, 3, 2, 4]}
 
 
+def test_large_ids_of_queries_stay_whole(spark):
+    rows = [(2**53 + 1 + 2 * i, [1.0, (i + 1) / 40]) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = ann.search(ann.build_index(df, "vec_id", "embedding"), df, "vec_id", "embedding", k=1).collect()
+    assert {r.query_id: r.vec_id for r in found} == {k: rows[-1][0] if k != rows[-1][0] else rows[-2][0] for k, _ in rows}
+
+
 def test_neighbours_among_copies(spark):
     """A third of all rows are one vector; ties go to the smaller keys."""
     rng = np.random.default_rng(3)
