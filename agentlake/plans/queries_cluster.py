@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from agentlake.fixtures import Fixtures
 from agentlake.functions.jsontext import field
-from agentlake.operators import cluster, logs, waits, weather
+from agentlake.operators import cluster, logs, rules, waits, weather
 from agentlake.operators.lookup import describe_many
 from agentlake.plans import diagnosis
 from agentlake.plans.catalog import query
@@ -442,3 +442,22 @@ WAIT_SECONDS = 2 * 86_400
 )
 def crashloop_wait(f: Fixtures) -> DataFrame:
     return waits.crashloop_wait(f.pod_status, f.deploys, WAIT_SECONDS).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query(
+    """select event_id, concat(event_type, ' by user-', cast(user_id as varchar), ' of ', cast(event_id % 97 as varchar)) as line,
+           c_mktsegment as category
+    from events join customer on user_id = c_custkey
+    union all
+    select event_id, concat(event_type, ' by user-', cast(user_id as varchar), ' of ', cast(event_id % 97 as varchar)), 'failed'
+    from events where event_type = 'error' and event_id % 97 = 13"""
+)
+def match_rules(f: Fixtures) -> DataFrame:
+    """A rule per customer, and one for failures, against a line per event."""
+    user, place = F.col("user_id").cast("string"), (F.col("event_id") % 97).cast("string")
+    line = F.concat("event_type", F.lit(" by user-"), user, F.lit(" of "), place)
+    lines = f.tables["events"].select("event_id", line.alias("line"))
+    pattern = F.concat(F.lit("by user-"), F.col("c_custkey").cast("string"), F.lit("\\b"))
+    named = f.tables["customer"].select(F.col("c_mktsegment").alias("category"), pattern.alias("pattern"))
+    failed = f.spark.createDataFrame([("failed", r"(?i)^ERROR .* (of|from) 13$")], "category string, pattern string")
+    return rules.match_rules(lines, named.unionByName(failed)).drop("pattern")
