@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agentlake.functions.quantity import quantity
-from agentlake.operators.paging import PAGE_ROWS, paged_list, paged_text, skew_join
+from agentlake.operators.joins import same, skew_join
+from agentlake.operators.paging import PAGE_ROWS, paged_list, paged_text
 
 # Placeholders of the listings and texts.
 NOT_AVAILABLE = "N/A"
@@ -142,15 +143,11 @@ def requested_logs(logs: DataFrame, requests: DataFrame) -> DataFrame:
     """Log lines asked for by any request (namespace, pod, container or NULL).
 
     A request without a container stands for all of the pod's containers. Each
-    line appears once.
+    line appears once, and the lines are read once.
     """
-    requests = requests.dropna(subset=list(POD_KEY))
-    whole = requests.filter(F.col("container").isNull()).select(*POD_KEY).distinct()
-    named = requests.filter(F.col("container").isNotNull()).select(*POD_KEY, "container")
-    partly = named.join(whole, list(POD_KEY), "left_anti").distinct()
-    return skew_join(logs, whole, POD_KEY, "left_semi").unionByName(
-        skew_join(logs, partly, [*POD_KEY, "container"], "left_semi")
-    )
+    asked = requests.dropna(subset=list(POD_KEY)).select(*[F.col(c).alias(f"_{c}") for c in (*POD_KEY, "container")]).distinct()
+    of_pod = same(logs, asked, {c: f"_{c}" for c in POD_KEY})
+    return logs.join(asked, of_pod & (asked["_container"].isNull() | (asked["_container"] == logs["container"])), "left_semi")
 
 
 def _event_line() -> Column:

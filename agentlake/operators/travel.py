@@ -276,8 +276,10 @@ def search_with_fallback(
 def cost_lines(flights: DataFrame, hotels: DataFrame, cars: DataFrame, trips: DataFrame) -> DataFrame:
     """One line per trip and category: ``trip_id, category, quantity, amount``.
 
-    ``amount`` is NULL where nothing could be booked.
+    ``amount`` is NULL where nothing could be booked. Trips that do not ask for
+    a car have no line for one.
     """
+    driving = trips.filter(F.lower(F.trim("is_car_rental_required")) == "yes")
     air = round_trips(flights, trips).select(
         "trip_id", F.lit("flights").alias("category"), F.lit(2).alias("quantity"),
         F.col("total_price").alias("amount"),
@@ -286,7 +288,7 @@ def cost_lines(flights: DataFrame, hotels: DataFrame, cars: DataFrame, trips: Da
         "trip_id", F.lit("accommodation").alias("category"), F.col("nights").alias("quantity"),
         F.col("total_rate_usd").alias("amount"),
     )
-    car = car_quote(trips, cars).select(
+    car = car_quote(driving, cars).select(
         "trip_id", F.lit("car_rental").alias("category"), F.col("days").alias("quantity"),
         F.col("price").alias("amount"),
     )

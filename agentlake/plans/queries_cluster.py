@@ -268,23 +268,27 @@ def pod_findings(f: Fixtures) -> DataFrame:
     f"""with {_FINDINGS},
     told as (select namespace, pod, string_agg({_EVENT_LINE}, chr(10) order by seq) as events_text
              from pod_events group by namespace, pod),
-    has_logs as (select distinct namespace, pod from log_lines),
-    asked as (select namespace, name as pod, case when phase = 'Failed' and name like '%7' then 'not found' end as error
-              from pod_containers where pos = 0)
-    select a.namespace, a.pod, 0 as page,
+    read as (select namespace, pod, string_agg(line, chr(10) order by line_no) as logs_text
+             from log_lines group by namespace, pod),
+    asked as (select namespace, name as pod, phase as details,
+                     case when phase = 'Failed' and name like '%7' then 'not found' end as error
+              from pod_containers where pos = 0),
+    told_of as (
+    select a.namespace, a.pod, 0 as page, case when error is null then details end as details,
+           case when error is null then coalesce(l.logs_text, 'No logs available') end as logs,
            case when error is null then
-                case when l.pod is null then 'No logs available' else 'Logs read' end end as logs,
-           case when error is null then coalesce(f.findings, 'No analysis available') end as findings,
+                case when a.pod like '%9' then 'Log analysis failed' else coalesce(f.findings, 'No analysis available') end
+                end as findings,
            case when error is null then coalesce(t.events_text, 'No events found') end as events_text,
-           case when error is not null then concat('Failed to get pod info: ', error) end as error,
-           case when error is null then concat('Pod ', a.pod, ' in namespace ', a.namespace, chr(10),
-                'Logs: ', case when l.pod is null then 'No logs available' else 'Logs read' end, chr(10),
-                'Findings: ', coalesce(f.findings, 'No analysis available'), chr(10),
-                'Events:', chr(10), coalesce(t.events_text, 'No events found')) end as report
+           case when error is not null then concat('Failed to get pod info: ', error) end as error
     from asked a
     left join found f on f.namespace = a.namespace and f.pod = a.pod
     left join told t on t.namespace = a.namespace and t.pod = a.pod
-    left join has_logs l on l.namespace = a.namespace and l.pod = a.pod""",
+    left join read l on l.namespace = a.namespace and l.pod = a.pod)
+    select *, case when error is null then concat('Pod ', pod, ' in namespace ', namespace, chr(10),
+                'Details: ', details, chr(10), 'Findings: ', findings, chr(10),
+                'Events:', chr(10), events_text, chr(10), 'Logs:', chr(10), logs) end as report
+    from told_of""",
     ("pod_containers", "pod_events", "log_lines"),
 )
 def troubleshoot(f: Fixtures) -> DataFrame:
@@ -294,7 +298,7 @@ def troubleshoot(f: Fixtures) -> DataFrame:
         F.col("phase").alias("details"),
         F.when((F.col("phase") == "Failed") & F.col("name").endswith("7"), F.lit("not found")).alias("error"),
     )
-    result = diagnosis.diagnose(pods, f.pod_events, f.log_lines)
+    result = diagnosis.diagnose(pods, f.pod_events, f.log_lines, failed=pods.filter(F.col("pod").endswith("9")))
     artifact = F.try_element_at(F.col("result.artifacts"), F.lit("report"))
     return result.withColumn("report", artifact).drop("result")
 

@@ -241,14 +241,16 @@ def search_with_fallback(f: Fixtures) -> DataFrame:
                  and r.ticket_class = upper(t.travel_class)),
     parts as (
         select d.trip_id, air.amount as flights, nights * price_per_night as accommodation,
-               days * daily_rate as car_rental, nights, days,
+               lower(trim(is_car_rental_required)) = 'yes' as drives,
+               case when lower(trim(is_car_rental_required)) = 'yes' then days * daily_rate end as car_rental, nights,
+               case when lower(trim(is_car_rental_required)) = 'yes' then days end as days,
                try_cast(total_budget as double) as budget, try_cast(no_of_travellers as int) as travellers
         from dated d join air using (trip_id) join stay using (trip_id) join rent using (trip_id)),
     summed as (
         select *, case when flights is null and accommodation is null and car_rental is null then null
                   else coalesce(flights, 0) + coalesce(accommodation, 0) + coalesce(car_rental, 0) end as grand_total,
                cast((flights is null) as bigint) + cast((accommodation is null) as bigint)
-                   + cast((car_rental is null) as bigint) as failed_bookings
+                   + cast((coalesce(drives, false) and car_rental is null) as bigint) as failed_bookings
         from parts)
     select trip_id, round(flights, 2) as flights, round(accommodation, 2) as accommodation,
            round(car_rental, 2) as car_rental, round(grand_total, 2) as grand_total,

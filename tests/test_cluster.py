@@ -138,13 +138,21 @@ def test_diagnosis(spark):
     assert told["crashloop-pod"].findings == "ApplicationError (4): Check application code for exceptions"
     assert told["quiet"].logs == diagnosis.NO_LOGS and told["quiet"].events_text == cluster.NO_EVENTS
     assert told["gone"].result.error == "Failed to get pod info: not found" and told["gone"].result.artifacts == {}
-    assert "Findings: ApplicationError" in told["crashloop-pod"].result.artifacts["report"]
+    report = told["crashloop-pod"].result.artifacts["report"]
+    assert "Findings: ApplicationError" in report and "Details: d\n" in report
+    assert told["crashloop-pod"].logs == "\n".join(FAILING) and report.endswith(FAILING[-1])
+    # Pages of the log go on where the events have ended.
+    paged = diagnosis.diagnose(pods, events(spark).filter("pod = 'none'"), failing_lines(spark), page_rows=2, failed=pods.filter("pod = 'quiet'"))
+    read = [(r.page, r.logs, r.events_text) for r in paged.orderBy("page").collect() if r.pod == "crashloop-pod"]
+    assert [(p, t) for p, t, _ in read] == [(i, "\n".join(FAILING[2 * i : 2 * i + 2])) for i in range(3)]
+    assert [e for _, _, e in read] == [cluster.NO_EVENTS, "", ""]
+    assert paged.filter("pod = 'quiet'").first().findings == diagnosis.ANALYSIS_FAILED
 
 
 def test_failed_analysis(spark):
-    pods = spark.createDataFrame([("n", "a", None)], "namespace string, pod string, error string")
+    pods = spark.createDataFrame([("n", "a", "d", None)], "namespace string, pod string, details string, error string")
     none = spark.createDataFrame([], "namespace string, pod string, page int, events_text string")
-    logs_of = pods.select("namespace", "pod")
+    logs_of = none.withColumnRenamed("events_text", "logs_text")
     failed = spark.createDataFrame([("n", "a", None, True)], "namespace string, pod string, findings string, failed boolean")
     assert diagnosis.troubleshoot(pods, none, logs_of, failed).first().findings == diagnosis.ANALYSIS_FAILED
 

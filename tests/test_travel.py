@@ -82,6 +82,10 @@ def test_example_trip_cost(spark):
     assert (cost[0].nights, cost[0].days, cost[0].per_person) == (8, 8, 3010.0)
     assert cost[1].replan and cost[1].failed_bookings == 1 and cost[1].car_rental is None
     assert cost[2].per_person is None
+    # No car is wanted, so none is paid for or missed.
+    no = columns.derive_trip_dates(trips(spark, {"is_car_rental_required": "no", "type_of_car": "TRUCK"}, {"is_car_rental_required": None}))
+    walk = travel.trip_cost(travel.cost_lines(flights(spark), hotels(spark), cars(spark), no), no).collect()
+    assert {(r.car_rental, r.days, r.failed_bookings, r.grand_total, r.replan) for r in walk} == {(None, None, 0, 2570.0, False)}
 
 
 def test_quotes(spark):
