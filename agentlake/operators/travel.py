@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agentlake.functions.trips import enum_value
@@ -156,6 +156,86 @@ def round_trips(flights: DataFrame, trips: DataFrame) -> DataFrame:
     )
 
 
+def round_trip_choices(flights: DataFrame, trips: DataFrame, k: int = 5) -> DataFrame:
+    """The ``k`` cheapest pairs of onward and return flight of each trip.
+
+    Output ``trip_id, rank, onward, return, total_price``; fewer rows where there
+    are fewer pairs, none where a leg has no flight. Flights without a price
+    take no part. Pairs of equal price are ordered by the onward flight, then
+    by the return flight.
+
+    Pair (i, j) of two price-ordered legs comes after every pair that is no
+    later in both, so only pairs with i * j <= k can be among the first ``k``. They
+    are formed once per route from ``k`` flights of each leg, about k ln k of
+    them; trips then look up their route.
+    """
+    order = Window.partitionBy(*FLIGHT_KEY).orderBy("price", "carrier", "flight_number", "id")
+    legs, _, _ = written(
+        flights.filter(F.col("price").isNotNull())
+        .select(*FLIGHT_KEY, "price", "carrier", "flight_number", "id")
+        .withColumn("_place", F.row_number().over(order))
+        .filter(F.col("_place") <= k)
+        .groupBy(*FLIGHT_KEY)
+        .agg(F.sort_array(F.collect_list(F.struct("_place", "price", "carrier", "flight_number"))).alias("_offers")),
+        "route-offers",
+    )
+
+    def side(start: str, end: str, offers: str) -> DataFrame:
+        return legs.select(
+            F.col(start).alias("_from"), F.col(end).alias("_to"), F.col("ticket_class").alias("_class"),
+            F.col("_offers").alias(offers),
+        )
+
+    def paired(out: Column) -> Column:
+        partners = F.filter("_back", lambda back: out["_place"] * back["_place"] <= k)
+        return F.transform(
+            partners,
+            lambda back: F.struct(
+                (out["price"] + back["price"]).alias("total_price"),
+                out["_place"].alias("_first"),
+                back["_place"].alias("_second"),
+                out.alias("_onward"),
+                back.alias("_return"),
+            ),
+        )
+
+    pairs = F.slice(F.sort_array(F.flatten(F.transform("_out", paired))), 1, k)
+    routes, _, _ = written(
+        side("from_airport", "to_airport", "_out")
+        .join(side("to_airport", "from_airport", "_back"), ["_from", "_to", "_class"])
+        .select("_from", "_to", "_class", pairs.alias("_pairs")),
+        "route-pairs",
+    )
+    asked = trips.select(
+        "trip_id", "start_date", "end_date",
+        F.col("origin").alias("_from"), F.col("destination").alias("_to"),
+        enum_value(F.col("travel_class")).alias("_class"),
+    )
+
+    def shown(prefix: str, airport: str, date: str) -> Column:
+        offer = F.col("_pair")[f"_{prefix}"]
+        return F.struct(
+            F.col(airport).alias("airport"),
+            F.col(date).alias("date"),
+            offer["carrier"].alias("airline"),
+            offer["flight_number"].alias("flight_number"),
+            F.col("_class").alias("travel_class"),
+            offer["price"].alias("cost"),
+        ).alias(prefix)
+
+    return (
+        asked.join(routes, ["_from", "_to", "_class"])
+        .select("*", F.posexplode("_pairs").alias("_at", "_pair"))
+        .select(
+            "trip_id",
+            (F.col("_at") + 1).alias("rank"),
+            shown("onward", "_from", "start_date"),
+            shown("return", "_to", "end_date"),
+            F.col("_pair")["total_price"].alias("total_price"),
+        )
+    )
+
+
 def _days(first: str, last: str) -> Column:
     return F.datediff(F.col(last).try_cast("date"), F.col(first).try_cast("date"))
 

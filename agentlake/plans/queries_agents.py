@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from agentlake.fixtures import Fixtures
 from agentlake.functions.jsontext import strict_json
 from agentlake.functions.vectors import dot
-from agentlake.operators import lookup, search, searchindex, vectors
+from agentlake.operators import embedindex, lookup, search, searchindex, vectors
 from agentlake.plans import agents
 from agentlake.plans.catalog import query
 from agentlake.session import scratch_path, written
@@ -125,15 +125,13 @@ _BUCKETS = """token_counts as (
     group by all)"""
 
 
-@query(
-    f"""with texts as (select task_id as id, description as text from card_tasks), {_BUCKETS},
+_EMBEDDED = f"""with texts as (select task_id as id, description as text from card_tasks), {_BUCKETS},
     norms as (select id, sqrt(cast(sum(n * n) as double)) as norm from token_counts group by id)
     select id as task_id, cast(max(bucket) as int) as last_bucket, round(sum(n / norm), 4) as total
-    from token_counts join norms using (id) group by id""",
-    ("card_tasks",),
-)
-def embed(f: Fixtures) -> DataFrame:
-    embedded = vectors.embed(f.card_tasks, "description")
+    from token_counts join norms using (id) group by id"""
+
+
+def _shown(embedded: DataFrame) -> DataFrame:
     filled = F.filter(F.sequence(F.lit(0), F.lit(255)), lambda i: F.get("embedding", i) > 0)
     total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))
     return embedded.select(
@@ -141,6 +139,21 @@ def embed(f: Fixtures) -> DataFrame:
     )
 
 
+@query(_EMBEDDED, ("card_tasks",))
+def embed(f: Fixtures) -> DataFrame:
+    return _shown(vectors.embed(f.card_tasks, "description"))
+
+
+@query(_EMBEDDED, ("card_tasks",))
+def stored_embeddings(f: Fixtures) -> DataFrame:
+    """The same rows from vectors kept over two refreshes: other texts, then the present ones."""
+    path = scratch_path(f.spark, "task-vectors")
+    changed = F.when(F.col("task_id") % 3 == 0, F.concat(F.lit("once "), "description")).otherwise(F.col("description"))
+    embedindex.refresh(f.card_tasks.withColumn("description", changed), path, 0, "description")
+    embedindex.refresh(f.card_tasks, path, 1, "description")
+    return _shown(embedindex.with_stored(f.card_tasks, path, "description"))
+
+
 @query(
     f"""with texts as (
         select concat('t', cast(task_id as string)) as id, description as text from card_tasks

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from agentlake.fixtures import Fixtures
 from agentlake.functions.jsontext import field
-from agentlake.operators import cluster, logs, rules, waits, weather
+from agentlake.operators import cluster, logs, records, rules, waits, weather
 from agentlake.operators.lookup import describe_many
 from agentlake.plans import diagnosis
 from agentlake.plans.catalog import query
@@ -235,6 +235,64 @@ def log_patterns_top(f: Fixtures) -> DataFrame:
     return logs.log_patterns(f.log_lines, top=3)
 
 
+_RECORD = "partition by namespace, pod, container order by line_no"
+_TRACED = "replace(line, 'Starting container...', 'Traceback (most recent call last):')"
+
+
+@query(
+    f"""with traced as (select namespace, pod, container, line_no, {_TRACED} as line from log_lines),
+    kinds as (select *, line like ' %' as inside,
+                     case when line like 'Traceback%' then 'trace' when line not like ' %' then 'plain' end as kind
+              from traced),
+    placed as (select *, row_number() over ({_RECORD}) as place, lag(inside) over ({_RECORD}) as after_inside,
+                      last_value(kind ignore nulls) over (
+                          {_RECORD} rows between unbounded preceding and 1 preceding) as before
+               from kinds),
+    headed as (select *, max(case when place = 1 or kind = 'trace' or (kind = 'plain'
+                                       and not coalesce(after_inside and before = 'trace', false))
+                                  then line_no end) over ({_RECORD}) as record
+               from placed),
+    told as (select namespace, pod, container, record as first_line, max(line_no) as last_line, count(*) as lines,
+                    count(*) filter (inside) as frames, arg_min(line, line_no) as line,
+                    arg_max(line, line_no) filter (not inside) as cause
+             from headed group by all)
+    select namespace, pod, container, first_line, last_line, lines, frames,
+           case when frames > 0 then 'stack_trace' else {_SEVERITY} end as severity, line as head, cause
+    from told""",
+    ("log_lines",),
+)
+def log_records(f: Fixtures) -> DataFrame:
+    return records.log_records(f.log_lines.withColumn("line", F.expr(_TRACED)))
+
+
+_TOLD = """case when event_type = 'error' then concat('error ', p_type, ' on ', p_name, ' of ', c_mktsegment)
+    else concat(event_type, ' of ', p_name, ' ', cast(event_id as string), ' by ', c_mktsegment) end as line"""
+
+
+@query(
+    f"""with told as (select {_TOLD} from events join customer on user_id = c_custkey
+                    join part on event_id % 200 + 1 = p_partkey),
+    masked as (select {_TEMPLATE} as line, count(*) as n from told group by all),
+    w0 as (select string_split(line, ' ') as w, len(w) as size, n from masked),
+    w1 as (select *, case when count(distinct w[1]) over (partition by size) > 6 then '<*>' else w[1] end as a from w0),
+    w2 as (select *, case when count(distinct w[2]) over (partition by size, a) > 6 then '<*>' else w[2] end as b
+           from w1),
+    w3 as (select *, case when count(distinct w[3]) over leaf > 6 then '<*>' else w[3] end as c,
+                     case when count(distinct w[4]) over leaf > 6 then '<*>' else w[4] end as d,
+                     case when count(distinct w[5]) over leaf > 6 then '<*>' else w[5] end as e,
+                     case when count(distinct w[6]) over leaf > 6 then '<*>' else w[6] end as f,
+                     case when count(distinct w[7]) over leaf > 6 then '<*>' else w[7] end as g
+           from w2 window leaf as (partition by size, a, b))
+    select concat_ws(' ', a, b, c, d, e, f, g) as template, cast(sum(n) as bigint) as lines, count(*) as variants
+    from w3 group by template"""
+)
+def log_templates(f: Fixtures) -> DataFrame:
+    """Lines of events that name a part and a segment; nodes keep up to six words."""
+    events = f.tables["events"].join(f.tables["customer"], F.expr("user_id = c_custkey"))
+    told = events.join(f.tables["part"], F.expr("event_id % 200 + 1 = p_partkey"))
+    return records.log_templates(told.select(F.expr(_TOLD.removesuffix(" as line")).alias("line")), depth=2, max_children=6)
+
+
 _RULES = """rules(category, pattern, remediation) as (values
     ('ImagePullBackOff', '(?i)ImagePullBackOff|ErrImagePull', 'Correct image name in deployment'),
     ('OOMKilled', '(?i)OOMKilled|out of memory', 'Increase memory limits in resource.limits'),

@@ -133,6 +133,39 @@ def round_trips(f: Fixtures) -> DataFrame:
     )
 
 
+@query(
+    """with offers as (
+        select *, row_number() over (partition by from_airport, to_airport, ticket_class
+                                     order by price, carrier, flight_number, id) as place from flights),
+    near as (select * from offers where place <= 5),
+    chosen as (
+        select o.from_airport, o.to_airport, o.ticket_class, o.carrier as onward_airline,
+               o.flight_number as onward_number, o.price as onward_cost, r.carrier as return_airline,
+               r.flight_number as return_number, r.price as return_cost, round(o.price + r.price, 2) as total_price,
+               cast(row_number() over (partition by o.from_airport, o.to_airport, o.ticket_class
+                                       order by o.price + r.price, o.place, r.place) as int) as rank
+        from near o join near r on r.from_airport = o.to_airport and r.to_airport = o.from_airport
+             and r.ticket_class = o.ticket_class)
+    select trip_id, rank, onward_airline, onward_number, onward_cost, return_airline, return_number, return_cost,
+           total_price
+    from trips t join chosen c on c.from_airport = t.origin and c.to_airport = t.destination
+         and c.ticket_class = upper(t.travel_class) and rank <= 5""",
+    ("flights", "trips"),
+)
+def round_trip_choices(f: Fixtures) -> DataFrame:
+    return travel.round_trip_choices(f.flights, f.trips).select(
+        "trip_id",
+        "rank",
+        F.col("onward.airline").alias("onward_airline"),
+        F.col("onward.flight_number").alias("onward_number"),
+        F.col("onward.cost").alias("onward_cost"),
+        F.col("return.airline").alias("return_airline"),
+        F.col("return.flight_number").alias("return_number"),
+        F.col("return.cost").alias("return_cost"),
+        F.round("total_price", 2).alias("total_price"),
+    )
+
+
 _STAY = f"""stay as (
     select d.trip_id, h.name, h.city, h.hotel_type, h.room_type, h.price_per_night,
            cast(date_diff('day', try_cast(checkin_date as date), try_cast(checkout_date as date)) as int) as nights

@@ -160,3 +160,33 @@ def test_sql_gate(spark):
     assert "Please check" not in select_or_error(spark, "SELECT * FROM nowhere")[1]["error"]
     assert select_or_error(spark, "SELECT 1 AS one")[1] is None
     assert "error" in select_or_error(spark, "SELECT FROM WHERE")[1]
+
+
+def test_round_trip_choices_equal_all_pairs(spark):
+    import itertools
+    import random
+
+    draw = random.Random(1)
+    places, classes = ["SFO", "LHR", "CDG"], ["ECONOMY", "FIRST"]
+    table = [
+        (i, draw.choice("ABC"), draw.randint(1, 9), *draw.sample(places, 2), draw.choice(classes), draw.choice([None, 10.0, 20.5, 30.25, 41.0]))
+        for i in range(120)
+    ] + [(500 + i, "HOT", i, "SFO", "LHR", "ECONOMY", float(100 + i % 7)) for i in range(300)]
+    offers = spark.createDataFrame(table, flights(spark).schema).repartition(5)
+    asked = [("SFO", "LHR", "economy"), ("LHR", "CDG", " First "), ("SFO", "SFO", "economy"), (None, "LHR", "economy"), ("SFO", "LHR", "economy")]
+    wanted = trips(spark, *[{"origin": a, "destination": b, "travel_class": c} for a, b, c in asked])
+    for k in (1, 5, 40):
+        got = {}
+        for r in travel.round_trip_choices(offers, wanted, k).orderBy("trip_id", "rank").collect():
+            got.setdefault(r.trip_id, []).append((r.total_price, r.onward.airline, r.onward.flight_number, r["return"].airline, r["return"].flight_number))
+            assert r["rank"] == len(got[r.trip_id]) and r.onward.date == TRIP["start_date"]
+        for trip, (a, b, c) in enumerate(asked):
+            kind = c.strip().upper()
+
+            def leg(start, end):
+                here = [o for o in table if o[3:6] == (start, end, kind) and o[6] is not None]
+                return sorted(here, key=lambda o: (o[6], o[1], o[2], o[0]))
+
+            pairs = itertools.product(enumerate(leg(a, b)), enumerate(leg(b, a)))
+            best = sorted(((o[6] + r[6], i, j, o, r) for (i, o), (j, r) in pairs), key=lambda p: p[:3])[:k]
+            assert got.get(trip, []) == [(t, o[1], o[2], r[1], r[2]) for t, _, _, o, r in best]
