@@ -10,7 +10,6 @@ from agentlake.operators import graph, workflow
 from agentlake.plans.catalog import query
 from agentlake.plans.queries_cluster import WAIT_SECONDS
 from agentlake.streaming.crashloop import stream_crashloop as crashloop_stream
-from agentlake.streaming.run import run_available
 from agentlake.streaming.status import stream_task_status as status_stream
 from agentlake.streaming.truncate import stream_truncate as truncate_stream
 
@@ -300,4 +299,4 @@ def stream_crashloop(f: Fixtures) -> DataFrame:
     )
     deploys = named.filter(F.col("event_type") == "signup")
     status = named.filter(F.col("event_type") == "error").withColumn("waiting_reason", F.lit("CrashLoopBackOff"))
-    return run_available(crashloop_stream(status, deploys, WAIT_SECONDS), "crashloop")
+    return crashloop_stream(status, deploys, WAIT_SECONDS)

@@ -27,6 +27,17 @@ Fold = Callable[[DataFrame, DataFrame], DataFrame]
 Settle = Callable[[DataFrame, DataFrame], DataFrame]
 
 
+def run_batches(stream: DataFrame, path: str, each: Callable[[DataFrame, int], None]) -> None:
+    """Hand every available micro-batch and its number to ``each``; ``path`` keeps the progress."""
+    query = (
+        stream.writeStream.foreachBatch(each)
+        .option("checkpointLocation", f"{path}/progress")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+
+
 def run_folded(
     stream: DataFrame, name: str, key: str, fold: Fold, settle: Settle, rows: T.StructType, states: T.StructType, path: str | None = None
 ) -> DataFrame:
@@ -60,11 +71,5 @@ def run_folded(
             changed = changed.unionByName(kept)
         changed.write.mode("overwrite").parquet(f"{path}/states/batch={number}")
 
-    query = (
-        stream.writeStream.foreachBatch(each)
-        .option("checkpointLocation", f"{path}/progress")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    run_batches(stream, path, each)
     return spark.read.schema(rows).parquet(f"{path}/rows").drop("batch")

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from agentlake.operators import waits, workflow
 from agentlake.streaming import folded, status
 from agentlake.streaming.crashloop import stream_crashloop
-from agentlake.streaming.run import run_available
 from agentlake.streaming.status import next_state, stream_task_status
 from agentlake.streaming.truncate import stream_truncate
 
@@ -124,7 +123,7 @@ def test_crashloop_equals_batch(spark, tmp_path):
     crash = F.when(F.col("kind") == "crash", F.lit(waits.CRASHLOOP)).alias("waiting_reason")
     status = named.filter("kind = 'crash'").select("namespace", "pod", "ts", crash)
     deploys = named.filter("kind = 'deploy'").select("namespace", "pod", "ts")
-    found = run_available(stream_crashloop(status, deploys, 60), "w")
+    found = stream_crashloop(status, deploys, 60)
 
     table = spark.createDataFrame(data, schema).select("namespace", "pod", F.timestamp_seconds(F.col("at") + 1_700_000_000).alias("ts"), "kind")
     batch = waits.crashloop_wait(
@@ -134,3 +133,45 @@ def test_crashloop_equals_batch(spark, tmp_path):
     columns = ("namespace", "pod", "ts", "crashed", "crashed_at")
     assert sorted(map(str, found.select(*columns).collect())) == sorted(map(str, batch.select(*columns).collect()))
     assert found.filter("crashed").count() == 2
+
+
+def test_crashloop_over_many_batches_and_runs(spark, tmp_path):
+    """One pod owns a third of the rows; text and number keys; two runs on one path."""
+    draw = random.Random(2)
+    moments = sorted(
+        (draw.randint(0, 4000), "hot" if draw.random() < 0.35 else f"p{draw.randint(0, 9)}", draw.choice(["crash", "deploy", "deploy"]))
+        for _ in range(600)
+    )
+    schema, path = "namespace long, pod string, at long, kind string", str(tmp_path / "kept")
+    data = [(1, pod, at, kind) for at, pod, kind in moments] + [(2, "last", 9000, "crash")]
+    crash = F.lit(waits.CRASHLOOP).alias("waiting_reason")
+
+    def split(df):
+        named = df.select("namespace", "pod", F.timestamp_seconds(F.col("at") + 1_700_000_000).alias("ts"), "kind")
+        return (
+            named.filter("kind = 'crash'").select("namespace", "pod", "ts", crash),
+            named.filter("kind = 'deploy'").select("namespace", "pod", "ts"),
+        )
+
+    batches = [data[i : i + 100] for i in range(0, len(data), 100)]
+    first = stream_crashloop(*split(as_stream(spark, tmp_path, batches[:3], schema)), 60, path=path).count()
+    found = stream_crashloop(*split(as_stream(spark, tmp_path, batches[3:], schema, 3)), 60, path=path)
+    assert 0 < first < found.count() == sum(kind == "deploy" for _, _, _, kind in data)
+    batch = waits.crashloop_wait(*split(spark.createDataFrame(data, schema)))
+    columns = ("namespace", "pod", "ts", "crashed", "crashed_at")
+    assert sorted(map(str, found.select(*columns).collect())) == sorted(map(str, batch.select(*columns).collect()))
+
+
+def test_late_and_undated_moments(spark, tmp_path):
+    schema = "namespace string, pod string, at long, kind string"
+    batches = [
+        [("n", "a", 0, "deploy"), ("n", "b", 5, "deploy"), ("n", None, 6, "deploy"), ("n", "b", None, "deploy")],
+        [("n", "a", 100, "deploy"), ("n", None, 7, "crash")],
+        [("n", "a", 3, "crash"), ("n", "b", 98, "deploy"), ("n", "c", 200, "crash")],
+    ]
+    rows = as_stream(spark, tmp_path, batches, schema)
+    named = rows.select("namespace", "pod", F.timestamp_seconds("at").alias("ts"), "kind")
+    status = named.filter("kind = 'crash'").withColumn("waiting_reason", F.lit(waits.CRASHLOOP)).drop("kind")
+    found = stream_crashloop(status, named.filter("kind = 'deploy'").drop("kind"), 60)
+    told = sorted((r.pod or "", int(r.ts.timestamp()), r.crashed) for r in found.collect())
+    assert told == [("", 6, True), ("a", 0, False), ("a", 100, False), ("b", 5, False), ("b", 98, False)]
