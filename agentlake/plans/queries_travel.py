@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from agentlake.functions import trips as trip_columns
 from agentlake.functions.template import render_template
 from agentlake.operators import travel
 from agentlake.operators.sqlgate import run_select
+from agentlake.operators.sqlgate import select_envelope as envelope_of
 from agentlake.plans.catalog import query
 from agentlake.sources.tables import register_tables
 
@@ -100,6 +103,30 @@ def run_select_sql(f: Fixtures) -> DataFrame:
     )
 
 
+@query(
+    """select 'results' as kind, l_returnflag, l_linestatus, count(*) as n, round(sum(l_quantity), 2) as sum_qty
+    from lineitem group by l_returnflag, l_linestatus
+    union all select 'error', null, null, null, null from range(2)"""
+)
+def select_envelope(f: Fixtures) -> DataFrame:
+    """The rows of one SELECT out of its JSON, and the errors of two other statements."""
+    register_tables(f.spark, {"lineitem": f.tables["lineitem"]})
+    statements = (
+        "SELECT l_returnflag, l_linestatus, count(*) AS n, round(sum(l_quantity), 2) AS sum_qty "
+        "FROM lineitem GROUP BY l_returnflag, l_linestatus",
+        "SELECT l_absent FROM lineitem",
+        "DELETE FROM lineitem",
+    )
+    answers = [envelope_of(f.spark, statement) for statement in statements]
+    row = "struct<l_returnflag:string,l_linestatus:string,n:bigint,sum_qty:double>"
+    found = F.from_json("envelope", f"results array<{row}>, error string")
+    rows = reduce(DataFrame.unionByName, answers).select(found.alias("a"))
+    return rows.select(
+        F.when(F.col("a.error").isNotNull(), F.lit("error")).otherwise(F.lit("results")).alias("kind"),
+        F.explode_outer("a.results").alias("r"),
+    ).select("kind", "r.*")
+
+
 @query(
     """with best as (
         select *, row_number() over (partition by from_airport, to_airport, ticket_class

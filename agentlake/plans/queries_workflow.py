@@ -272,6 +272,25 @@ def stream_truncate(f: Fixtures) -> DataFrame:
     return truncate_stream(rows)
 
 
+@query(
+    """with judged as (
+        select task_id, seq, content, case when seq % 7 = 0 then null else is_task_complete end as flagged,
+               require_user_input
+        from task_items),
+    told as (select *, case when coalesce(flagged, true) then 'complete' when require_user_input then 'input_required'
+                            else 'working' end as outcome from judged),
+    ends as (select task_id, min(seq) as until from told where outcome <> 'working' group by task_id)
+    select task_id, seq, content, outcome from told left join ends using (task_id)
+    where until is null or seq <= until""",
+    ("task_items",),
+)
+def truncate_at_text(f: Fixtures) -> DataFrame:
+    """Every seventh item is plain text, which has no flag and completes its task."""
+    flag = F.when(F.col("seq") % 7 != 0, F.col("is_task_complete"))
+    items = f.task_items.withColumn("is_task_complete", flag)
+    return workflow.truncate_at_terminal(items, text_completes=True).select("task_id", "seq", "content", "outcome")
+
+
 # A deploy nobody answers is settled once the watermark passes its timeout.
 @query(
     """with settled as (

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from agentlake.functions import trips as columns
 from agentlake.operators import travel
-from agentlake.operators.sqlgate import check_select, run_select, select_or_error
+from agentlake.operators.sqlgate import check_select, run_select, select_envelope, select_or_error
 from agentlake.sources.tables import register_tables
 
 import pytest
@@ -190,3 +190,20 @@ def test_round_trip_choices_equal_all_pairs(spark):
             pairs = itertools.product(enumerate(leg(a, b)), enumerate(leg(b, a)))
             best = sorted(((o[6] + r[6], i, j, o, r) for (i, o), (j, r) in pairs), key=lambda p: p[:3])[:k]
             assert got.get(trip, []) == [(t, o[1], o[2], r[1], r[2]) for t, _, _, o, r in best]
+
+
+def test_select_envelopes(spark):
+    import json
+
+    spark.range(25).selectExpr("id", "id * 2 as twice", "if(id = 3, null, 'x') as x").createOrReplaceTempView("numbers")
+    pages = select_envelope(spark, "SELECT id, x, twice, id as `odd name`, -id as twice FROM numbers ORDER BY id DESC", 10).orderBy("page").collect()
+    parsed = [json.loads(p.envelope)["results"] for p in pages]
+    assert [p.page for p in pages] == [0, 1, 2] and [len(p) for p in parsed] == [10, 10, 5]
+    assert [r["id"] for p in parsed for r in p] == list(range(24, -1, -1))
+    assert parsed[0][0] == {"id": 24, "x": "x", "odd name": 24, "twice": -24}
+    assert "x" not in next(r for p in parsed for r in p if r["id"] == 3)
+    empty = select_envelope(spark, "SELECT * FROM numbers WHERE id < 0").collect()
+    assert [(p.page, p.envelope) for p in empty] == [(0, '{"results": []}')]
+    for wrong in ("SELECT absent FROM numbers", "DROP TABLE numbers", "SELECT FROM WHERE", None):
+        only = select_envelope(spark, wrong).collect()
+        assert len(only) == 1 and list(json.loads(only[0].envelope)) == ["error"]
