@@ -79,6 +79,7 @@ def length_buckets(
     buckets: int = BUCKETS,
     budget: int = BUDGET,
     length: Column | None = None,
+    exact: int | None = EXACT,
 ) -> DataFrame:
     """Batches of documents of like length.
 
@@ -88,12 +89,14 @@ def length_buckets(
     of their id and length, ``floor(budget / pad_to)`` rows to a batch, one at
     least: a row longer than the budget is a batch of its own. A NULL or empty
     text has length 0 and pads nothing. No rows give no rows. The histogram
-    that reaches the driver has a bounded number of bins whatever the lengths.
+    that reaches the driver has a bounded number of bins whatever the lengths;
+    with ``exact=None`` every length has its own, and bounds are the best at any
+    length, at one row of four numbers per distinct length.
     """
     size = word_count(F.col(text)) if length is None else length.cast("long")
     lean, _, _ = written(docs.select(F.col(doc_id).alias("doc_id"), size.alias("n_words")), "lengths")
     bins = (
-        lean.groupBy(histogram_bin(F.col("n_words")).alias("bin"))
+        lean.groupBy((F.col("n_words") if exact is None else histogram_bin(F.col("n_words"), exact)).alias("bin"))
         .agg(F.count(F.lit(1)).alias("rows"), F.sum("n_words").alias("words"), F.max("n_words").alias("top"))
         .orderBy("bin")
         .collect()

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from agentlake.llm.text import WordHashes, as_bytes, joined
 from agentlake.session import written
 
-#: Common words kept per language, languages with a reference of their own, and
-#: words a language needs for one. Languages below share one reference.
+#: Common words kept per language; words, and share of all words, that a language
+#: needs for a reference of its own. Languages below share one reference. The
+#: share keeps the references few: at most 1 / LEAST_SHARE languages reach it.
 COMMON = 200
-LANGUAGES = 200
-REFERENCE_WORDS = 2_000
+REFERENCE_WORDS, LEAST_SHARE = 2_000, 0.001
 #: Texts shorter than these are not judged by the histogram.
 LEAST_CHARS, LEAST_WORDS = 200, 60
 #: Largest Jensen-Shannon distance that passes. A short text strays further by
@@ -92,12 +92,22 @@ def base_counts(raw: bytes, hashes: WordHashes) -> tuple[int, int, int, int, int
 
 
 def references(
-    docs: DataFrame, text: str = "text", lang: str = "lang", common: int = COMMON, languages: int = LANGUAGES
+    docs: DataFrame,
+    text: str = "text",
+    lang: str = "lang",
+    common: int = COMMON,
+    least_words: int = REFERENCE_WORDS,
+    least_share: float = LEAST_SHARE,
 ) -> list[dict]:
     """Class shares and common-word shares per language, over all documents.
 
-    NULL and rare languages share one reference. What reaches the driver is
-    bounded: ``languages`` times ``common`` words.
+    Languages with fewer than ``least_words`` words or less than ``least_share``
+    of all words share one reference with the documents of NULL language: their
+    words are added up whole before the common ones are chosen, of equally
+    common ones the first in byte order. A shared reference below
+    ``least_words`` is left out. Repeated rows count as often as they stand.
+    No rows give no reference. What reaches the driver is ``common`` words of
+    at most ``1 / least_share`` languages, whatever the number of labels.
     """
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -111,11 +121,15 @@ def references(
             classes.clear()
             return pd.DataFrame(rows, columns=["lang", "kind", "item", "n"])
 
+        held = 0
         for batch in batches:
             for name, raw in zip(batch["lang"], batch["text"]):
+                held -= len(tokens[name])
                 classes[name] += class_counts(raw)
                 tokens[name].update(bytes(raw).lower().split())
-                if sum(map(len, tokens.values())) > 300_000:
+                held += len(tokens[name])
+                if held > 300_000 or len(classes) > 10_000:
+                    held = 0
                     yield flushed()
         yield flushed()
 
@@ -125,19 +139,21 @@ def references(
         .groupBy("lang", "kind", "item")
         .agg(F.sum("n").alias("n"))
     )
-    best = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item")
-    top = sums.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= common)
-    totals = sums.filter("kind = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-    kept, _, _ = written(
-        top.select("lang", "kind", "item", "n").unionByName(totals.select("lang", F.lit(2).alias("kind"), F.lit(b"").alias("item"), "n")),
-        "references",
+    counts, _, _ = written(sums, "word-counts")
+    totals = counts.filter("kind = 1").groupBy("lang").agg(F.sum("n").alias("words"))
+    everything = totals.agg(F.sum("words")).first()[0] or 0
+    large = totals.filter((F.col("words") >= least_words) & (F.col("words") >= least_share * everything))
+    own, _, _ = written(large.select(F.col("lang").alias("own")), "languages")
+    pooled = (
+        counts.join(own, F.col("lang") == F.col("own"), "left")
+        .groupBy(F.coalesce("own", F.lit(POOLED)).alias("lang"), "kind", "item")
+        .agg(F.sum("n").alias("n"))
     )
-    sized = kept.filter("kind = 2").filter(F.col("n") >= REFERENCE_WORDS).orderBy(F.desc("n"), "lang").limit(languages)
-    named = {r["lang"] for r in sized.select("lang").collect()}
+    best = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item")
+    top = pooled.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= common).drop("_r")
+    whole = pooled.filter("kind = 1").groupBy("lang").agg(F.sum("n").alias("n"))
+    ranked = top.unionByName(whole.select("lang", F.lit(2).alias("kind"), F.lit(b"").alias("item"), "n"))
     grouped: dict[str, dict] = {}
-    own = F.when(F.col("lang").isin(*named), F.col("lang")).otherwise(F.lit(POOLED)) if named else F.lit(POOLED)
-    summed = kept.groupBy(own.alias("lang"), "kind", "item").agg(F.sum("n").alias("n"))
-    ranked = summed.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= common)
     for r in ranked.collect():
         g = grouped.setdefault(r["lang"], {"classes": np.zeros(JUDGED), "words": {}, "n": 0})
         if r["kind"] == 0:
@@ -150,7 +166,7 @@ def references(
     made = []
     for name in sorted(grouped):
         g = grouped[name]
-        if g["n"] < REFERENCE_WORDS:
+        if g["n"] < least_words:
             continue
         listed = sorted(g["words"])
         shares = np.array([*[g["words"][w] for w in listed], max(g["n"] - sum(g["words"].values()), 0)], float)
@@ -158,6 +174,48 @@ def references(
     return made
 
 
+class CommonWords:
+    """Shares of common words of all references, by word.
+
+    A text is compared through the common words it holds, so memory follows
+    those and the number of references, not their product.
+    """
+
+    def __init__(self, refs: list[dict]):
+        self.column = {w: i for i, w in enumerate(sorted({w for r in refs for w in r["words"]}))}
+        at = [(self.column[w], i, s) for i, r in enumerate(refs) for w, s in zip(r["words"], r["shares"])]
+        at.sort()
+        self.start = np.searchsorted([c for c, _, _ in at], np.arange(len(self.column) + 1))
+        self.reference = np.array([i for _, i, _ in at], np.int64)
+        self.share = np.array([s for _, _, s in at], float)
+        self.rest = np.array([r["shares"][-1] for r in refs], float)
+
+    def distances(self, words: list[bytes]) -> np.ndarray:
+        """Jensen-Shannon distance of one text's words to every reference.
+
+        A common word that the text lacks adds its share, as does a word of the
+        text for a reference without it, which counts among the rest there.
+        """
+        column, n = self.column, len(self.rest)
+        found = np.array([c for w in words if (c := column.get(w)) is not None], np.int64)
+        held, times = np.unique(found, return_counts=True)
+        sizes = self.start[held + 1] - self.start[held]
+        entry = np.repeat(self.start[held] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        to, q = self.reference[entry], self.share[entry]
+        p = np.repeat(times, sizes) / max(len(words), 1)
+        terms = np.bincount(to, _divergence(p, q), n) + 1 - self.rest - np.bincount(to, q, n)
+        listed = np.bincount(to, np.repeat(times, sizes), n)
+        terms += _divergence((len(words) - listed) / max(len(words), 1), self.rest)
+        return np.sqrt(np.clip(terms / 2, 0.0, 1.0))
+
+
+def _divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """p log2(p / m) + q log2(q / m) with m midway."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        m = (p + q) / 2
+        return np.where(p > 0, p * np.log2(p / m), 0.0) + np.where(q > 0, q * np.log2(q / m), 0.0)
+
+
 def judged(refs: list[dict], spark):
     """A column function text -> struct of the base counts, distances, verdict.
 
@@ -173,24 +231,15 @@ def judged(refs: list[dict], spark):
     )
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         refs, hashes = shared.value, WordHashes(300_000)
-        column = {w: i for i, w in enumerate(sorted({w for r in refs for w in r["words"]}))}
-        slots = [np.array([column[w] for w in r["words"]], np.int64) for r in refs]
+        common = CommonWords(refs)
         for texts in batches:
             raws = [bytes(t) for t in texts]
             base = np.array([base_counts(r, hashes) for r in raws], np.int64).reshape(-1, 5)
             classes = np.array([class_counts(r)[:JUDGED] for r in raws], float).reshape(-1, JUDGED)
-            common = np.zeros((len(raws), len(column)))
-            for i, raw in enumerate(raws):
-                at = [j for w in raw.lower().split() if (j := column.get(w)) is not None]
-                common[i] = np.bincount(at, minlength=len(column)) if at else 0
-            far_char = np.zeros(len(raws)) if not refs else np.min([distance(classes, r["classes"]) for r in refs], axis=0)
-            far_word = np.zeros(len(raws))
+            far_char = far_word = np.zeros(len(raws))
             if refs:
-                each = []
-                for r, slot in zip(refs, slots):
-                    own = common[:, slot]
-                    each.append(distance(np.column_stack([own, base[:, 0] - own.sum(axis=1)]), r["shares"]))
-                far_word = np.min(each, axis=0)
+                far_char = np.min([distance(classes, r["classes"]) for r in refs], axis=0)
+                far_word = np.array([common.distances(raw.lower().split()).min() for raw in raws], float)
             chars, n = classes.sum(axis=1), base[:, 0]
             failed = (n < FEWEST_WORDS) | (100 * base[:, 4] > MOST_REPEATED * n)
             off = (chars >= LEAST_CHARS) & (far_char > CHAR_LIMIT + CHAR_SLACK / np.sqrt(np.maximum(chars, 1)))
@@ -212,7 +261,8 @@ def judge_quality(docs: DataFrame, refs: list[dict], text: str = "text", out: st
     """Add ``out``: a struct (n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, char_distance, word_distance, base_failed, kept).
 
-    No shuffle; a column already named ``out`` is replaced.
+    Every row is judged by itself, so repeated rows have equal results. No
+    shuffle; a column already named ``out`` is replaced.
     """
     apply = judged(refs, docs.sparkSession)
     return docs.withColumn(out, apply(F.col(text)))

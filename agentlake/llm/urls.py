@@ -99,8 +99,9 @@ def calibrated(accepted: np.ndarray, rejected: np.ndarray) -> float:
     return float(cuts[best[len(best) // 2]])
 
 
-def fit(labelled: DataFrame, fit_urls: int = FIT_URLS, order: int = ORDER) -> dict | None:
-    """Models and cut from rows (url, verdict), or None with too few of a side.
+def fit(labelled: DataFrame, fit_urls: int = FIT_URLS, order: int = ORDER, least: int = LEAST) -> dict | None:
+    """Models and cut from rows (url, verdict), or None with fewer than ``least``
+    URLs of a side.
 
     About ``fit_urls`` distinct URLs of each verdict are chosen by hash, that
     bound being the only data that reaches the driver. Every fifth of them
@@ -108,7 +109,7 @@ def fit(labelled: DataFrame, fit_urls: int = FIT_URLS, order: int = ORDER) -> di
     """
     rows = labelled.filter(F.col("url").isNotNull() & F.col("verdict").isNotNull()).distinct()
     sizes = {r["verdict"]: r["n"] for r in rows.groupBy("verdict").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if min(sizes.get("allow", 0), sizes.get("block", 0)) < LEAST:
+    if min(sizes.get("allow", 0), sizes.get("block", 0)) < max(least, 1):
         return None
     draw = F.pmod(F.xxhash64("url", F.lit("fit")), F.lit(1 << 20))
     rate = F.when(F.col("verdict") == "allow", fit_urls / sizes["allow"]).otherwise(fit_urls / sizes["block"])
@@ -138,19 +139,20 @@ def filter_urls(
     out: str = "url_filter",
     fit_urls: int = FIT_URLS,
     order: int = ORDER,
+    least: int = LEAST,
 ) -> DataFrame:
     """Add ``out``: a struct (host, path, rule, score, verdict) per row.
 
     The longest fitting rule decides; all other URLs are allowed where the
     models' difference ``score`` reaches the calibrated cut. The rules' own
     verdicts are what the models learn from. A NULL URL is scored as an empty
-    one. With too few labelled URLs of a side there is no score and the verdict
-    is allow. No shuffle over all rows; a column already named ``out`` is
+    one. With fewer than ``least`` labelled URLs of a side there is no score and
+    the verdict is allow. No shuffle over all rows; a column already named ``out`` is
     replaced.
     """
     host, path = host_and_path(F.col(url))
     pattern, verdict = matching_rule(host, path, rules)
-    model = fit(pages.select(F.col(url).alias("url"), verdict.alias("verdict")), fit_urls, order)
+    model = fit(pages.select(F.col(url).alias("url"), verdict.alias("verdict")), fit_urls, order, least)
     if model is None:
         score, said = F.lit(None).cast("double"), F.lit("allow")
     else:

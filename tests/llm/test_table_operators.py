@@ -101,6 +101,18 @@ def test_batches(spark, odd_docs, odd_rows, no_docs):
     assert buckets.length_buckets(no_docs).count() == 0
 
 
+def test_bounds_are_the_best_for_long_texts(spark):
+    """Above the exact bins, every length a bin of its own."""
+    rng = np.random.default_rng(4)
+    lengths = np.concatenate([rng.integers(3_000, 9_000, 40), [500_001, 500_003, 500_003, 1_000_001]])
+    rows = [(i, "w " * 1, int(n)) for i, n in enumerate(lengths)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n long")
+    got = buckets.length_buckets(docs, buckets=4, length=F.col("n"), exact=None).collect()
+    tops = sorted(set(lengths.tolist()))
+    best = min(padding(lengths.tolist(), [*c, tops[-1]]) for n in range(4) for c in itertools.combinations(tops[:-1], n))
+    assert sum(r.padding for r in got) == best and len(got) == len(rows)
+
+
 def test_bins_are_bounded_and_hold_their_lengths(spark):
     df = spark.range(0, 200_000, 7).select(F.col("id").alias("n"), buckets.histogram_bin(F.col("id"), 64).alias("bin"))
     rows = df.groupBy("bin").agg(F.min("n").alias("low"), F.max("n").alias("top")).collect()

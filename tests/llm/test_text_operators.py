@@ -237,6 +237,113 @@ def test_quality_counts(spark, odd_docs, odd_rows, no_docs):
     assert quality.judge_quality(no_docs, quality.references(no_docs)).count() == 0
 
 
+def plain_class(c):
+    if c == "\n":
+        return "newline"
+    for name, members in (("space", " \t\x0b\x0c\r"), ("point", ".,;:!?'\"()-"), ("symbol", "#*$%&|<>"), ("digit", "0123456789")):
+        if c in members:
+            return name
+    if not c.isascii():
+        return "non-ascii"
+    return "lower" if c.islower() else "upper" if c.isupper() else "other ascii"
+
+
+def plain_words(text):
+    return [w.encode().lower() for w in WORD.findall(text or "")]
+
+
+def plain_distance(p, q):
+    far = 0.0
+    for k in {*p, *q}:
+        a, b = p.get(k, 0.0), q.get(k, 0.0)
+        far += sum(x * math.log2(2 * x / (a + b)) for x in (a, b) if x)
+    return math.sqrt(max(far / 2, 0.0))
+
+
+def shares(counts):
+    total = sum(counts.values())
+    return {k: n / total for k, n in counts.items()} if total else {}
+
+
+def plain_references(rows, least_words, least_share):
+    """rows: (text, lang). Pairs (class shares, word shares) by reference name."""
+    sizes = Counter()
+    for text, lang in rows:
+        sizes[lang or ""] += len(plain_words(text))
+    own = {k for k, n in sizes.items() if n >= least_words and n >= least_share * sum(sizes.values())}
+    classes, words = defaultdict(Counter), defaultdict(Counter)
+    for text, lang in rows:
+        name = lang if lang in own else ""
+        classes[name].update(map(plain_class, text or ""))
+        words[name].update(plain_words(text))
+    made = {}
+    for name, counted in words.items():
+        if counted.total() >= least_words:
+            top = dict(sorted(counted.items(), key=lambda x: (-x[1], x[0]))[: quality.COMMON])
+            made[name] = shares(classes[name]), shares({**top, None: counted.total() - sum(top.values())})
+    return made
+
+
+def plain_quality(text, refs):
+    """(char distance, word distance, how far the nearer limit is, kept)."""
+    words, chars = plain_words(text), Counter(map(plain_class, text or ""))
+    far_char = min(plain_distance(shares(chars), c) for c, _ in refs.values())
+    far_word = math.inf
+    for _, listed in refs.values():
+        counted = Counter(w if w in listed else None for w in words)
+        # An empty text is half of every reference away.
+        far_word = min(far_word, plain_distance(shares(counted), listed))
+    n, size, repeated = len(words), len(text or ""), plain_counts(text)[4]
+    room = math.inf
+    if size >= quality.LEAST_CHARS:
+        room = min(room, quality.CHAR_LIMIT + quality.CHAR_SLACK / math.sqrt(size) - far_char)
+    if n >= quality.LEAST_WORDS:
+        room = min(room, quality.WORD_LIMIT + quality.WORD_SLACK / math.sqrt(n) - far_word)
+    return far_char, far_word, room, not (n < 50 or 100 * repeated > 50 * n) and room >= 0
+
+
+def assert_judged(docs, rows, least_words, least_share, every=1):
+    refs = quality.references(docs, least_words=least_words, least_share=least_share)
+    plain = plain_references([(t, lang) for _, t, lang in rows], least_words, least_share)
+    assert {r["lang"] for r in refs} == set(plain)
+    got = {r.doc_id: r.q for r in quality.judge_quality(docs, refs, out="q").select("doc_id", "q").collect()}
+    assert len(got) == len(rows)
+    verdicts = set()
+    for i, text, _ in rows[::every]:
+        far_char, far_word, room, kept = plain_quality(text, plain)
+        assert got[i].char_distance == pytest.approx(far_char, abs=1e-7), i
+        assert got[i].word_distance == pytest.approx(far_word, abs=1e-7), i
+        if abs(room) > 1e-6:
+            assert got[i].kept == kept, i
+            verdicts.add(kept)
+    return verdicts
+
+
+def test_verdicts_equal_a_plain_version(spark, odd_docs, odd_rows):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    assert assert_judged(docs, [tuple(r) for r in docs.collect()], quality.REFERENCE_WORDS, quality.LEAST_SHARE) == {True, False}
+    assert_judged(odd_docs, [r[:3] for r in odd_rows], 100, 0.0)
+
+
+def test_rare_languages_are_added_up_whole(spark):
+    """A word that is common only in the pool, and more languages than ever fit a fixed number."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(300):
+        own = [f"l{i}w{k}" for k in range(260)]
+        words = [w for w in own for _ in range(2)] + ["shared"]
+        if i < 250:
+            words = words * 4
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), f"lang{i}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    refs = {r["lang"]: r for r in quality.references(docs, least_words=2_000)}
+    assert len(refs) == 251
+    pool = refs[quality.POOLED]
+    assert pool["shares"][pool["words"].index(b"shared")] == pytest.approx(50 / (50 * 521))
+    assert_judged(docs, rows, 2_000, quality.LEAST_SHARE, every=40)
+
+
 def test_distance_is_jensen_shannon():
     p, q = np.array([0.2, 0.3, 0.5]), np.array([0.6, 0.0, 0.4])
     m = (p + q) / 2
@@ -298,5 +405,54 @@ def test_markov_model_sums_to_one():
     assert total == pytest.approx(1.0)
 
 
+def plain_bits(url, counts, order):
+    padded, total = "\x02" * order + url + "\x03", 0.0
+    for i in range(order, len(padded)):
+        p = 1 / urls.ALPHABET
+        for k in range(order + 1):
+            seen = counts.get(padded[i - k : i], Counter())
+            if seen:
+                p = (seen[padded[i]] + len(seen) * p) / (seen.total() + len(seen))
+        total += math.log2(p)
+    return total
+
+
+def test_url_verdicts_equal_a_plain_version(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
+    judged = urls.filter_urls(pages, URL_RULES, order=3, fit_urls=40, least=3).collect()
+    draw, held = F.pmod(F.xxhash64("url", F.lit("fit")), F.lit(1 << 20)), F.pmod(F.xxhash64("url", F.lit("held")), F.lit(5)) == 0
+    drawn = {r.url: (r.d, r.h) for r in pages.dropna().select("url", draw.alias("d"), held.alias("h")).distinct().collect()}
+    said = {u: plain_rule(u)[3] for u in drawn}
+    models, unseen = {}, {}
+    for side in ("allow", "block"):
+        of = [u for u in drawn if said[u] == side]
+        chosen = [u for u in of if drawn[u][0] < 40 / len(of) * (1 << 20)]
+        counts = defaultdict(Counter)
+        for u in chosen:
+            padded = "\x02" * 3 + u + "\x03"
+            for i in range(3, len(padded) if not drawn[u][1] else 0):
+                for k in range(4):
+                    counts[padded[i - k : i]][padded[i]] += 1
+        models[side], unseen[side] = dict(counts), [u for u in chosen if drawn[u][1]]
+    score = lambda u: (plain_bits(u, models["allow"], 3) - plain_bits(u, models["block"], 3)) / (len(u) + 1)
+    held_out = {side: [score(u) for u in of] for side, of in unseen.items()}
+    quality_of = lambda cut: np.mean([s >= cut for s in held_out["allow"]]) + np.mean([s < cut for s in held_out["block"]])
+    cuts = sorted({*held_out["allow"], *held_out["block"]})
+    best = max(quality_of(c) for c in [*cuts, cuts[-1] + 1])
+    assert quality_of(urls.calibrated(np.array(held_out["allow"]), np.array(held_out["block"]))) == pytest.approx(best)
+    cut = urls.calibrated(np.array(held_out["allow"]), np.array(held_out["block"]))
+    for r in judged:
+        url, f = r.url or "", r.url_filter
+        assert f.score == pytest.approx(score(url), abs=1e-9)
+        if f.rule is None and abs(f.score - cut) > 1e-9:
+            assert f.verdict == ("allow" if f.score >= cut else "block")
+
+
+def test_few_labelled_urls_can_still_be_learned(spark):
+    pages = spark.createDataFrame([(f"http://a.org/{i}",) for i in range(9)] + [(f"http://com/de/{i}",) for i in range(9)], "url string")
+    assert urls.filter_urls(pages, URL_RULES).filter("url_filter.score is not null").count() == 0
+    assert urls.filter_urls(pages, URL_RULES, least=5).filter("url_filter.score is null").count() == 0
+
+
 def test_cut_is_calibrated():
     assert urls.calibrated(np.array([2.0, 3.0]), np.array([-1.0, 0.0])) == pytest.approx(1.0)
