@@ -532,6 +532,26 @@ class Fixtures:
         tasks = F.transform(F.sequence(F.lit(0), (key % 3).cast("int")), task)
         return self.tables["orders"].select(key.alias("plan_id"), tasks.alias("tasks"))
 
+    def item_files(self, path: str, where: str = "true") -> None:
+        """Add ``{"items": [...]}`` files below ``path``, a folder per namespace.
+
+        A file holds the orders of a priority, a last digit and a range of
+        keys, so its size is bounded; those of digit 9 are cut short.
+        """
+        key = F.col("o_orderkey")
+        item = F.struct(key, F.concat(F.lit("pod-"), key.cast("string")).alias("name"), F.col("o_orderstatus").alias("phase"))
+        digit = (key % 10).alias("digit")
+        listed = (
+            self.tables["orders"]
+            .filter(where)
+            .groupBy(F.col("o_orderpriority").alias("namespace"), digit, F.floor(key / 100_000).alias("block"))
+            .agg(F.sort_array(F.collect_list(item)).alias("items"))
+        )
+        body = F.to_json(F.struct(F.transform("items", lambda i: F.struct(i["name"], i["phase"])).alias("items")))
+        cut = F.when(F.col("digit") == 9, F.left(body, F.length(body) - 2)).otherwise(body)
+        files = listed.select("namespace", cut.alias("value")).write.mode("append").partitionBy("namespace")
+        files.option("maxRecordsPerFile", 1).text(path)
+
     @property
     def forecasts(self) -> DataFrame:
         """Forecasts whose periods are an array, one per order."""

@@ -12,7 +12,7 @@ from agentlake.operators.lookup import describe_many
 from agentlake.plans import diagnosis
 from agentlake.plans.catalog import query
 from agentlake.session import scratch_path
-from agentlake.sources import items, sinks
+from agentlake.sources import folders, items, sinks
 from agentlake.sources.logs import read_logs as read_log_files
 from agentlake.sources.logs import split_logs
 
@@ -523,3 +523,41 @@ def match_rules(f: Fixtures) -> DataFrame:
     named = f.tables["customer"].select(F.col("c_mktsegment").alias("category"), pattern.alias("pattern"))
     failed = f.spark.createDataFrame([("failed", r"(?i)^ERROR .* (of|from) 13$")], "category string, pattern string")
     return rules.match_rules(lines, named.unionByName(failed)).drop("pattern")
+
+
+_ITEM_FILES = """
+    with keyed as (
+        select o_orderpriority as namespace, o_orderkey % 10 as digit, o_orderkey // 100000 as block, o_orderkey, o_orderstatus
+        from orders)
+    select namespace, cast(row_number() over (partition by namespace, digit, block order by o_orderkey) - 1 as int) as pos,
+           concat('pod-', cast(o_orderkey as string)) as name, o_orderstatus as phase, cast(null as string) as reject
+    from keyed where digit <> 9
+    union all
+    select distinct on (namespace, digit, block) namespace, null, null, null, 'Failed to parse JSON output from kubectl'
+    from keyed where digit = 9"""
+
+ITEM_FILES = {"keys": "namespace string", "glob": "*.txt"}
+
+
+def _item_rows(documents: DataFrame) -> DataFrame:
+    found = folders.items_of(documents, "namespace")
+    text = lambda name: F.try_variant_get("item", f"$.{name}", "string").alias(name)
+    return found.select("namespace", "pos", text("name"), text("phase"), "reject")
+
+
+@query(_ITEM_FILES)
+def item_folder(f: Fixtures) -> DataFrame:
+    """Items of a folder of files, and the files that hold no document."""
+    path = scratch_path(f.spark, "items")
+    f.item_files(path)
+    return _item_rows(folders.read_documents(f.spark, path, **ITEM_FILES))
+
+
+@query(_ITEM_FILES)
+def stream_item_folder(f: Fixtures) -> DataFrame:
+    """The same, read as files arrive: the second run takes only those that are new."""
+    path, table = scratch_path(f.spark, "items"), scratch_path(f.spark, "item-rows")
+    for arrived in ("o_orderkey % 10 in (2, 3, 9)", "not o_orderkey % 10 in (2, 3, 9)"):
+        f.item_files(path, arrived)
+        rows = folders.append_new(_item_rows(folders.stream_documents(f.spark, path, **ITEM_FILES)), table)
+    return rows
