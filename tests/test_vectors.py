@@ -200,3 +200,49 @@ def test_groups_that_cannot_win_are_left_out(spark, caplog):
         assert sorted(map(tuple, far.collect())) == sorted(map(tuple, near.collect()))
         further, of = map(int, re.search(r"(\d+) further visits of (\d+) groups", caplog.records[-1].getMessage()).groups())
         assert of > 15 and further < 0.5 * of * queries.count()
+
+
+def test_two_precisions_give_the_plain_order(monkeypatch):
+    """Small chunks; ties, equal keys, numbers beyond single precision, and vectors without one."""
+    monkeypatch.setattr(vectors, "CHUNK_ROWS", 16)
+    monkeypatch.setattr(vectors, "CHUNK_ITEMS", 32)
+    rng = np.random.default_rng(2)
+    near = rng.normal(size=(300, 6))
+    tied = np.repeat(rng.integers(-2, 3, (60, 6)).astype(float), 5, axis=0)
+    odd = near.copy()
+    odd[7], odd[40, 2], odd[90] = np.nan, np.inf, 1e200
+    for data in (near, near * 1e-3, near.astype(np.float32), tied, odd, np.zeros((300, 6)), 1000 + near):
+        keys = np.sort(rng.choice(280, len(data))) if data is tied else np.arange(len(data))
+        for k, same in ((1, True), (5, False), (5, True), (400, True)):
+            with np.errstate(all="ignore"):
+                scores = np.round(data.astype(float) @ data.T.astype(float), 6) + 0.0
+                found = vectors._best(keys, data.astype(float), keys, data, k, same)
+            scores[~np.isfinite(scores)] = -np.inf
+            if same:
+                scores[keys[:, None] == keys[None, :]] = -np.inf
+            chosen = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+            best = np.take_along_axis(scores, chosen, axis=1)
+            row, nth = np.nonzero(best > -np.inf)
+            assert found["query"].tolist() == keys[row].tolist() and found["item"].tolist() == keys[chosen[row, nth]].tolist()
+            assert np.allclose(found["score"], best[row, nth], atol=2e-6)
+
+
+def test_where_no_group_is_left_out_queries_are_not_copied(spark, monkeypatch):
+    """Vectors without clusters, where every query meets every group: no table has a row for each such pair."""
+    rng, sizes, original = np.random.default_rng(3), {}, vectors.written
+
+    def counted(df, name, *rest):
+        kept = original(df, name, *rest)
+        sizes[name] = kept[0].count()
+        return kept
+
+    monkeypatch.setattr(vectors, "written", counted)
+    for name, value in (("MEETING_QUERIES", 90), ("MEETING_ITEMS", 150)):
+        monkeypatch.setattr(vectors, name, value)
+    data = [(2**53 + i, [float(x) for x in v]) for i, v in enumerate(rng.normal(size=(400, 16)))]
+    table = spark.createDataFrame(data, "key long, embedding array<float>").repartition(3)
+    far = vectors.top_match(table, table, "key", "key", k=5, exclude_self=True, broadcast_bytes=0, block_rows=20)
+    near = vectors.top_match(table, table, "key", "key", k=5, exclude_self=True)
+    assert sorted(map(tuple, far.collect())) == sorted(map(tuple, near.collect()))
+    # Rows of best items: five for each query; groups: about 80, met by five slices.
+    assert sizes["vector-groups"] > 40 and max(sizes.values()) <= 5 * 400
