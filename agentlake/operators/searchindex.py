@@ -38,6 +38,8 @@ SHARD_WORDS = 2_000_000
 BLOCK_DOCS = 64
 BLOCK_PAIRS = 200_000
 FIRST_BLOCKS = 8
+#: Posting lists that leave a task at a time.
+LISTS_AT_ONCE = 8_192
 
 _LISTS = ("docs", "counts", "blocks", "starts", "most", "least")
 _DOCS, _POSTINGS, _QUERIES = 0, 1, 2
@@ -65,9 +67,18 @@ def _shard(shard: int, keys: pa.Array, lengths: np.ndarray, words: pa.Array, sch
     if not len(words):
         return
     coded = words.dictionary_encode()
-    pair = coded.indices.to_numpy().astype(np.int64) * len(order) + place[np.repeat(np.arange(len(order)), lengths)]
-    pair, counts = np.unique(pair, return_counts=True)
-    word, doc = pair // len(order), pair % len(order)
+    tokens_of, pair = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+    del words, coded
+    # In place, as each of these is as long as the shard has words.
+    pair *= len(order)
+    pair += np.repeat(place, lengths)
+    pair.sort()
+    begin = np.flatnonzero(np.diff(pair, prepend=-1))
+    counts = np.diff(begin, append=len(pair)).astype(np.int32)
+    pair = pair[begin]
+    del begin
+    word, doc = (pair // len(order)).astype(np.int32), (pair % len(order)).astype(np.int32)
+    del pair
     first = np.flatnonzero(np.diff(word, prepend=-1))
     # A touched block begins where the word or the block changes.
     block = doc // BLOCK_DOCS
@@ -77,11 +88,15 @@ def _shard(shard: int, keys: pa.Array, lengths: np.ndarray, words: pa.Array, sch
         "most": np.maximum.reduceat(counts, touched), "least": np.minimum.reduceat(by_place[doc], touched),
     }
     ends = {name: np.append(first if name in ("docs", "counts") else np.searchsorted(touched, first), len(lists[name])) for name in lists}
-    columns = {
-        name: pa.ListArray.from_arrays(pa.array(ends[name], pa.int32()), pa.array(lists[name], pa.int32())) for name in lists
-    }
-    n = len(first)
-    yield rows(n, {"kind": pa.array(np.full(n, _POSTINGS)), "token": coded.dictionary.take(pa.array(word[first])), "n": pa.array(np.diff(ends["docs"])), **columns})
+    size = np.diff(ends["docs"])
+    for low in range(0, len(first), LISTS_AT_ONCE):
+        high = min(low + LISTS_AT_ONCE, len(first))
+        columns = {}
+        for name, values in lists.items():
+            cuts = ends[name][low : high + 1]
+            columns[name] = pa.ListArray.from_arrays(pa.array(cuts - cuts[0], pa.int32()), pa.array(values[cuts[0] : cuts[-1]], pa.int32()))
+        token = tokens_of.take(pa.array(word[first[low:high]]))
+        yield rows(high - low, {"kind": pa.array(np.full(high - low, _POSTINGS)), "token": token, "n": pa.array(size[low:high]), **columns})
 
 
 def add_documents(
@@ -111,10 +126,13 @@ def add_documents(
         kinds = None
 
         def flushed() -> Iterator[pa.RecordBatch]:
+            # ``held`` is emptied, so texts do not stay beside the lists made of them.
             keys = pa.concat_arrays([b.column("key") for b in held])
             lengths = np.concatenate([pc.list_value_length(b.column("words")).to_numpy(zero_copy_only=False) for b in held])
-            words = pa.concat_arrays([b.column("words").flatten() for b in held])
-            yield from _shard(number, keys, lengths.astype(np.int64), words, kinds)
+            parts = [b.column("words").flatten() for b in held]
+            held.clear()
+            yield from _shard(number, keys, lengths.astype(np.int64), pa.concat_arrays(parts), kinds)
+            pa.default_memory_pool().release_unused()
 
         for batch in batches:
             if kinds is None:
@@ -123,11 +141,16 @@ def add_documents(
                     [("shard", pa.int64()), ("kind", pa.int32()), ("token", pa.string()), ("n", pa.int64()), ("words", pa.int64()),
                      ("keys", pa.list_(batch.schema.field("key").type)), ("lengths", integers), *[(name, integers) for name in _LISTS]]
                 )
-            held.append(batch)
-            size += len(batch.column("words").flatten())
-            if size >= shard_words:
-                yield from flushed()
-                number, held, size = number + 1, [], 0
+            sizes = pc.list_value_length(batch.column("words")).to_numpy(zero_copy_only=False).astype(np.int64)
+            begin = 0
+            while begin < len(sizes):
+                # A batch holds thousands of documents; a shard exceeds its words by one document at most.
+                fit = int(np.searchsorted(np.cumsum(sizes[begin:]) + size, shard_words)) + 1
+                held.append(batch.slice(begin, fit))
+                size, begin = size + int(sizes[begin : begin + fit].sum()), begin + fit
+                if size >= shard_words:
+                    yield from flushed()
+                    number, size = number + 1, 0
         if held:
             yield from flushed()
 
@@ -144,7 +167,7 @@ class Shard:
         self.mean_len, self.lists, self.visited, self.seen = mean_len, {}, 0, 0
 
     def add(self, row: dict) -> None:
-        own = {name: np.asarray(row[name], np.int64) for name in _LISTS}
+        own = {name: np.asarray(row[name], np.int32) for name in _LISTS}
         own["ends"] = np.append(own["starts"][1:], len(own["docs"]))
         own["bound"] = own["most"] * (K1 + 1) / (own["most"] + K1 * (1 - B + B * own["least"] / self.mean_len))
         self.lists[row["token"]] = own

@@ -246,3 +246,13 @@ def test_where_no_group_is_left_out_queries_are_not_copied(spark, monkeypatch):
     assert sorted(map(tuple, far.collect())) == sorted(map(tuple, near.collect()))
     # Rows of best items: five for each query; groups: about 80, met by five slices.
     assert sizes["vector-groups"] > 40 and max(sizes.values()) <= 5 * 400
+
+
+def test_shards_are_cut_inside_a_batch(spark, tmp_path):
+    """All documents come in one batch; no shard holds more words than asked for and one document."""
+    docs = [(i, " ".join(f"w{(i * j) % 50}" for j in range(1, 21))) for i in range(300)]
+    path = str(tmp_path / "index")
+    searchindex.add_documents(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), path, 0, shard_words=500)
+    heads = spark.read.parquet(path).filter("kind = 0").select("n", "words", "shard").collect()
+    assert sum(r.n for r in heads) == 300 and max(r.words for r in heads) <= 500 + 20
+    assert len({r.shard for r in heads}) == len(heads) == 12
