@@ -112,26 +112,29 @@ def topo_order(nodes: DataFrame, edges: DataFrame, plain_rounds: int = PLAIN_ROU
     many rounds as the depth of chains and trees has bits.
     """
     spark = nodes.sparkSession
-    distinct = edges.select("src", "dst").distinct()
-    indegree = distinct.groupBy(F.col("dst").alias("_to")).agg(F.count(F.lit(1)).alias("need"))
-    weighted, _, _ = written(
-        distinct.join(indegree, distinct["dst"] == indegree["_to"]).select("src", "dst", "need"), "weighted"
-    )
-    first = (
-        nodes.select("id")
-        .distinct()
-        .join(indegree.select(F.col("_to").alias("id")), "id", "left_anti")
-        .select("id", F.lit(0).cast("long").alias("need"), F.lit(0).cast("long").alias("met"), F.lit(0).cast("long").alias("level"))
+    # Ids may have several fields, which are slow to sort; a hash before them decides nearly all comparisons.
+    code = F.xxhash64("id").alias("_code")
+    nodes, _, _ = written(nodes.withColumn("_code", code), "all-nodes")
+    distinct, _, _ = written(edges.select("src", "dst").distinct(), "all-edges")
+    into = distinct.select(F.xxhash64("dst").alias("_code"), F.col("dst").alias("id"), F.lit(1).cast("long").alias("need"), F.lit(False).alias("node"))
+    listed = nodes.select("_code", "id", F.lit(0).cast("long").alias("need"), F.lit(True).alias("node"))
+    needs, _, _ = written(
+        into.unionByName(listed).groupBy("_code", "id").agg(F.sum("need").alias("need"), F.max("node").alias("node")), "needs"
     )
+    waiting_for = needs.filter("need > 0").select("_code", "id", "need")
+    by_target = distinct.withColumns({"id": F.col("dst"), "_code": F.xxhash64("dst")}).join(waiting_for, ["_code", "id"])
+    left, _, _ = written(by_target.select("src", "dst", "need", F.xxhash64("src").alias("_code")), "weighted")
+    weighted = left.select("src", "dst")
+    first = needs.filter("need = 0 AND node").select("id", "need", F.lit(0).cast("long").alias("met"), F.lit(0).cast("long").alias("level"))
     current, path, more = written(first, "order0")
     schema, paths = current.schema, [path]
     while more and len(paths) <= plain_rounds:
-        ready = current.filter("met = need")
+        ready = current.filter("met = need").select(code, F.col("id").alias("src"), F.lit(True).alias("_hit"))
         waiting = current.filter("met < need").select("id", "need", "met")
-        met = (
-            weighted.join(ready.select(F.col("id").alias("src")), "src", "left_semi")
-            .select(F.col("dst").alias("id"), "need", F.lit(1).cast("long").alias("met"))
-        )
+        # An edge is followed once, so later rounds read only those still to be followed.
+        split, _, _ = written(left.join(ready, ["_code", "src"], "left").select("src", "dst", "need", "_code", "_hit"), "split")
+        left = split.filter("_hit IS NULL").drop("_hit")
+        met = split.filter("_hit").select(F.col("dst").alias("id"), "need", F.lit(1).cast("long").alias("met"))
         counted = (
             met.unionByName(waiting)
             .groupBy("id")
@@ -142,10 +145,16 @@ def topo_order(nodes: DataFrame, edges: DataFrame, plain_rounds: int = PLAIN_ROU
         paths.append(path)
     levels = spark.read.schema(schema).parquet(*paths).filter("met = need").select("id", "level")
     if more:
-        levels = _longest(weighted.select("src", "dst"), levels, len(paths))
-    if not nodes.join(levels, "id", "left_anti").isEmpty():
+        levels = _longest(weighted, levels, len(paths))
+    others = [c for c in nodes.columns if c not in ("id", "_code")]
+    ordered, _, waits = written(
+        nodes.join(levels.withColumn("_code", code), ["_code", "id"], "left").select("id", *others, F.col("level").cast("int").alias("level")),
+        "ordered",
+        F.col("level").isNull(),
+    )
+    if waits:
         raise CycleError("graph contains a cycle")
-    return nodes.join(levels.select("id", F.col("level").cast("int").alias("level")), "id")
+    return ordered
 
 
 def _longest(edges: DataFrame, levels: DataFrame, rounds: int) -> DataFrame:

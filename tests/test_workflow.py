@@ -236,3 +236,20 @@ def test_circles_are_refused_however_long(spark):
             graph.topo_order(nodes_of(spark, sorted(ids)), edges_of(spark, pairs), plain_rounds=0)
     found = graph.descendants(edges_of(spark, [*ring, (70, 71)]), spark.createDataFrame([(70,)], "id long"), 0)
     assert sorted(r.id for r in found.collect()) == [70, 71]
+
+
+def test_an_edge_is_followed_once(spark, monkeypatch):
+    """Later rounds read only edges that are still to be followed, also where ids have several fields."""
+    sizes, original = [], graph.written
+
+    def counted(df, name, *rest):
+        kept = original(df, name, *rest)
+        sizes.extend([kept[0].count()] if name == "split" else [])
+        return kept
+
+    monkeypatch.setattr(graph, "written", counted)
+    pairs = [((p, i), (p, i + 1)) for p in range(20) for i in range(p % 4)]
+    edges = spark.createDataFrame(pairs, "src struct<plan:long,node:int>, dst struct<plan:long,node:int>")
+    nodes = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    assert all(r.level == r.id.node for r in graph.topo_order(nodes, edges).collect())
+    assert sizes == [30, 15, 5, 0]
